@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontamination
+from tracewell.llm import decontamination, repetition
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op4_quality_rules": op4_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
+    "op4_quality_rules": repetition.ORACLE,
 }
