@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontamination, repetition
+from tracewell.llm import decontamination, near_duplicates, repetition
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,18 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.digest(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op8_minhash": op8_minhash,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op4_quality_rules": repetition.ORACLE,
+    "op8_minhash": near_duplicates.ORACLE,
 }
