@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontamination, near_duplicates, repetition
+from tracewell.llm import decontamination, near_duplicates, packing, repetition
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
 
@@ -27,6 +32,7 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_packing": op5_packing,
     "op8_minhash": op8_minhash,
 }
 
