@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontamination, near_duplicates, packing, repetition
+from tracewell.llm import chat, decontamination, near_duplicates, packing, repetition, sharding
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,15 +29,26 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op8_minhash": op8_minhash,
+    "op9_sharding": op9_sharding,
+    "op10_chat": op10_chat,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op4_quality_rules": repetition.ORACLE,
     "op8_minhash": near_duplicates.ORACLE,
+    "op10_chat": chat.ORACLE,
 }
