@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import chat, decontamination, near_duplicates, packing, repetition, sharding
+from tracewell.llm import chat, decontamination, html_extraction, near_duplicates, packing, repetition, sharding
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.digest(table(spark, sf_dir, "pages"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -38,6 +42,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
