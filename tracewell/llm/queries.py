@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import chat, decontamination, html_extraction, near_duplicates, packing, repetition, sharding
+from tracewell.llm import (
+    chat,
+    decontamination,
+    html_extraction,
+    language_id,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    repetition,
+    sharding,
+)
 from tracewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +39,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(table(spark, sf_dir, "documents"))
 
@@ -46,6 +64,8 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
+    "op6_language_id": op6_language_id,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_minhash": op8_minhash,
     "op9_sharding": op9_sharding,
     "op10_chat": op10_chat,
