@@ -17,6 +17,7 @@ from tracewell.llm import (
     quality_classifier,
     repetition,
     sharding,
+    warc,
 )
 from tracewell.llm.common import table
 
@@ -31,6 +32,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.digest(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_decontamination": op2_decontamination,
+    "op3_warc_derivatives": op3_warc_derivatives,
     "op4_quality_rules": op4_quality_rules,
     "op5_packing": op5_packing,
     "op6_language_id": op6_language_id,
