@@ -1,0 +1,22 @@
+"""Running sums over an order, without gathering a group in one task.
+
+A bucket is a function of the order that never falls.  Sums by bucket are made first; running sums over buckets are
+over few rows; rows are ordered only inside their bucket.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def running_before(rows: DataFrame, keys: list[str], bucket: Column, order: list[str], weight: Column, name: str) -> DataFrame:
+    """rows with the sum of weight over all rows of the same keys that come before, as a long."""
+    b, w = f"__bucket_{name}", f"__weight_{name}"
+    rows = rows.withColumn(b, bucket).withColumn(w, weight.cast("long"))
+    totals = rows.groupBy(*keys, b).agg(F.sum(w).alias("__total"))
+    earlier = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    begins = totals.select(*keys, b, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__begin"))
+    inside = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("__inside", F.coalesce(F.sum(w).over(inside), F.lit(0)))
+    return summed.join(begins, [*keys, b]).withColumn(name, (F.col("__begin") + F.col("__inside")).cast("long")).drop("__begin", "__inside", b, w)
