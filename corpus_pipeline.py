@@ -14,19 +14,19 @@ from tracewell.llm.common import durable, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repetition.passing(docs).select(*docs.columns)
+    return repetition.passing(docs)
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.identified(docs).select(*docs.columns)
+    return language_id.identified(docs)
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_duplicates.one_of_each(docs).select(*docs.columns)
+    return near_duplicates.one_of_each(docs)
 
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,19 +73,22 @@ def annotate(df: DataFrame, inputs: list[str], function: Callable[..., list], fi
     prepare(df.sparkSession)
     name, made = fresh("r"), StructType.fromDDL(fields)
     into = [(f.name, to_arrow_type(f.dataType)) for f in made]
-    source = df.select(*dict.fromkeys(quoted(c) for c in [*keep, *inputs]))
-    schema = StructType([source.schema[c] for c in keep] + [StructField(name, made)])
+    # plain names meanwhile: mapInArrow can't take those with dots
+    source = df.select(*(F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)), *(F.col(quoted(c)).alias(f"x{i}") for i, c in enumerate(inputs) if c not in keep))
+    at = [f"k{keep.index(c)}" if c in keep else f"x{i}" for i, c in enumerate(inputs)]
+    plain = [f"k{i}" for i in range(len(keep))]
+    schema = StructType([source.schema[c] for c in plain] + [StructField(name, made)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = function(*(batch.column(c) for c in inputs))
+            found = function(*(batch.column(c) for c in at))
             found = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, (_, t) in zip(found, into, strict=True)]
             struct = pa.StructArray.from_arrays(found, names=[n for n, _ in into])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), struct], names=[*keep, name])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in plain), struct], names=[*plain, name])
 
-    return source.mapInArrow(run, schema), name
+    return source.mapInArrow(run, schema).toDF(*keep, name), name
 
 
 def quoted(name: str) -> str:
