@@ -16,8 +16,12 @@ def _c(x: ColumnLike) -> Column:
 
 
 def strip_cr(line: ColumnLike) -> Column:
-    """Without one carriage return at the very end; `$` would also match before a line end, so it isn't used."""
-    return F.regexp_replace(_c(line), r"\r\z", "")
+    """Without one carriage return at the very end.
+
+    A pattern would turn the bytes into characters and lose those that aren't UTF-8, so the end is cut off.
+    """
+    c = _c(line)
+    return F.when(c.endswith("\r"), F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
 
 
 def record_bytes(line: ColumnLike) -> Column:

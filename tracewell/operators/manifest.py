@@ -123,14 +123,19 @@ def audit_report(manifest: DataFrame, listing: DataFrame, limit: int = 3) -> Dat
 
 def status(index: DataFrame, manifest: DataFrame, listing: DataFrame, datasets: DataFrame) -> DataFrame:
     """One row: what the index holds and what is wrong with it; lists have a name a dataset or a file."""
-    names = lambda df, c: df.agg(F.sort_array(F.collect_set(c)).alias("x"))
     parts = {
-        "missing_files": names(missing_files(index, listing), "full_path"),
-        "unsorted_datasets": names(unsorted_index(manifest), "dataset"),
-        "sorted_datasets": names(index.filter("kind = 'sorted'"), "dataset"),
-        "coverage_warnings": names(coverage(manifest, listing).filter("index_warns"), "warning"),
+        "missing_files": missing_files(index, listing).select("full_path"),
+        "unsorted_datasets": unsorted_index(manifest).select("dataset"),
+        "sorted_datasets": index.filter("kind = 'sorted'").select("dataset"),
+        "coverage_warnings": coverage(manifest, listing).filter("index_warns").select("warning"),
+        "dataset_count": datasets.select("dataset"),
+        "shard_count": index.select("full_path"),
     }
-    out = datasets.agg(F.countDistinct("dataset").alias("dataset_count")).crossJoin(index.agg(F.count("*").alias("shard_count")))
-    for name, df in parts.items():  # rows of one each
-        out = out.crossJoin(df.withColumnRenamed("x", name))
+    rows = None
+    for name, df in parts.items():
+        part = df.toDF("value").select(F.lit(name).alias("part"), "value")
+        rows = part if rows is None else rows.unionByName(part)
+    of = lambda name: F.when(F.col("part") == name, F.col("value"))
+    lists = [F.sort_array(F.collect_set(of(name))).alias(name) for name in list(parts)[:4]]
+    out = rows.agg(F.countDistinct(of("dataset_count")).alias("dataset_count"), F.count(of("shard_count")).alias("shard_count"), *lists)
     return out.select((F.size("missing_files") == 0).alias("ok"), "*")

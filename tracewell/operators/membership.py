@@ -35,7 +35,9 @@ def not_found(probes: DataFrame, corpus: DataFrame, probe: str = "probe", record
 
 
 def proper_prefixes(probes: DataFrame, corpus: DataFrame, probe: str = "probe", record: str = "line") -> DataFrame:
-    """Distinct probes that some longer record begins with, and that are no record: they must not count as matches.
+    """Distinct probes, but the empty one, that some longer record begins with and that are no record.
+
+    They must not count as matches.
 
     Records are cut to the lengths that probes have, so this is a join on values, not a comparison of all pairs.
     """

@@ -113,7 +113,7 @@ SELECT dataset, file, arg_min(line, (doc_id, pos)) AS first_line, arg_max(line,
 FROM lines GROUP BY dataset, file HAVING bool_or(line <> '')
 """)
 def file_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.boundaries(D.lines(spark, sf_dir), ["dataset", "file"], D.ORDER)
+    return M.boundaries(D.lines(spark, sf_dir), ["dataset", "file"], D.order())
 
 
 @query("SELECT dataset, file, lo, hi, records, size_bytes, entry FROM positional_manifest")
@@ -185,7 +185,7 @@ JOIN (SELECT dataset, file, min(line) AS lo, max(line) AS hi FROM lines GROUP BY
 """)
 def audit_boundary_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = D.lines(spark, sf_dir)
-    both = rows.groupBy("dataset", "file").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.min_by("line", D.ORDER).alias("first_line"), F.max_by("line", D.ORDER).alias("last_line"))
+    both = rows.groupBy("dataset", "file").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.min_by("line", D.order()).alias("first_line"), F.max_by("line", D.order()).alias("last_line"))
     return M.boundary_mismatches(both.select("dataset", "file", "lo", "hi"), both.select("dataset", "file", "first_line", "last_line"))
 
 
@@ -210,9 +210,9 @@ def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = M.effective(manifest.limit(0), manifest)
     there = listing.filter("size_bytes >= 2000")
     out = M.status(index, manifest.drop("size_bytes"), there, D.table(spark, sf_dir, "documents").select(F.col("source").alias("dataset")))
-    warned = M.coverage(manifest.drop("size_bytes"), listing).filter("index_warns").join(gone, "dataset", "left_anti").agg(F.array_join(F.sort_array(F.collect_set("warning")), ",").alias("w"))
+    warned = M.coverage(manifest.drop("size_bytes"), listing).filter("index_warns").join(gone, "dataset", "left_anti")
     joined = {c: F.array_join(c, ",") for c in ("missing_files", "unsorted_datasets", "sorted_datasets")}
-    return out.withColumns(joined).drop("coverage_warnings").crossJoin(warned.withColumnRenamed("w", "coverage_warnings"))
+    return out.withColumns(joined).withColumn("coverage_warnings", warned.agg(F.array_join(F.sort_array(F.collect_set("warning")), ",")).scalar())
 
 
 @query("""

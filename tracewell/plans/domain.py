@@ -6,13 +6,16 @@ below defines a view that holds the same rows as the function of that name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions import strings as S
 from tracewell.operators import manifest as M
 
-ORDER = F.struct("doc_id", "pos")
+
+def order() -> Column:
+    """Where a line lies in its file."""
+    return F.struct("doc_id", "pos")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,7 +53,7 @@ def range_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def positional_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dataset, file, lo, hi, records, size_bytes, entry) of the lines' files, entries by file name."""
-    built = M.build(lines(spark, sf_dir), ["dataset", "file"], ORDER)
+    built = M.build(lines(spark, sf_dir), ["dataset", "file"], order())
     from pyspark.sql import Window
 
     return built.withColumn("entry", (F.row_number().over(Window.partitionBy("dataset").orderBy("file")) - 1).cast("long"))
