@@ -63,15 +63,20 @@ def no_prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short-named datasets have a sorted master of their words, the others shards by first character."""
-    w = D.words(spark, sf_dir)
-    masters = M.ranges(w.filter("octet_length(dataset) = 4").withColumn("file", F.concat("dataset", F.lit("_sorted.txt"))), ["dataset", "file"])
-    return M.effective(masters, D.range_manifest(spark, sf_dir))
+    """Short-named datasets have a sorted master of their words, the others shards by first character.
+
+    The words are read once: a master spans what its dataset's shards span together.
+    """
+    ranges = D.range_manifest(spark, sf_dir)
+    short = ranges.filter("octet_length(dataset) = 4").groupBy("dataset")
+    masters = short.agg(F.concat(F.first("dataset"), F.lit("_sorted.txt")).alias("file"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("size_bytes").cast("long").alias("size_bytes"))
+    return M.effective(masters, ranges)
 
 
 @query("SELECT probe, kind, dataset, file FROM probes JOIN index_ ON probe BETWEEN lo AND hi")
 def candidate_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return membership.candidates(D.probes(spark, sf_dir), _word_index(spark, sf_dir)).select("probe", "kind", "dataset", "file")
+    index = _word_index(spark, sf_dir).cache()  # a row a file; read for the bins' bounds and for the join
+    return membership.candidates(D.probes(spark, sf_dir), index).select("probe", "kind", "dataset", "file")
 
 
 @query("""
