@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once a context; they need not have it installed."""
+    context, root = spark.sparkContext, Path(__file__).parents[1]
+    if not root.is_dir() or getattr(context, "_tracewell_shipped", False):
+        return
+    made = Path(tempfile.mkdtemp()) / "tracewell_code.zip"  # the driver serves it
+    with zipfile.ZipFile(made, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(made))
+    context._tracewell_shipped = True
+
+
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that a worker's memory doesn't depend on how rows are laid out."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -64,6 +80,15 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def rekeyed(df: DataFrame, key: str) -> DataFrame:
+    """df with its long key computed anew.
+
+    An aggregate by a key is already dealt by it, and a join would sit right on top of it, where Spark can't split a
+    hot key of the other side.  A key that it doesn't recognise makes both sides plain exchanges, which it can split.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def annotate(df: DataFrame, inputs: list[str], function: Callable[..., list], fields: str, keep: list[str]) -> tuple[DataFrame, str]:
     """The columns `keep` of df, and a struct column of a fresh name, which is returned with the frame.
 
