@@ -9,12 +9,13 @@ on a part of the sample that the weights haven't seen makes scores probabilities
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.common import annotate, held_out, prepare, quoted
@@ -143,21 +144,26 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     freq[list(df)] = list(df.values())
     idf = np.log((1 + total) / (1 + freq)) + 1
 
-    languages = sorted(r["l"] for r in rows.select("l").distinct().collect())
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}  # one a language
+    languages = sorted(sizes)
     if not languages:
         return Model([], idf, np.zeros((len(idf), 0)), np.zeros(0), 1.0)
     each = max(1, s.sample // len(languages))
-    order = Window.partitionBy("l").orderBy("h", "i")
-    chosen = rows.select("i", "l", F.xxhash64("i", F.lit(11)).alias("h")).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= each).select("i", "l", "h").distinct()
-    sample = rows.join(F.broadcast(chosen), ["i", "l"]).select("t", "l", "h")
+    # an interval of hashes that is expected to hold a tenth and a few more rows than are wanted, of each language
+    wide = 1 << 40
+    share = spark.createDataFrame([(k, int(min(1.0, (1.1 * each + 30) / n) * wide)) for k, n in sizes.items()], "l string, below long")
+    h = F.pmod(F.xxhash64("i", F.lit(11)), F.lit(wide))
+    sample = rows.join(F.broadcast(share), "l").withColumn("h", h).filter("h < below").select("t", "l", "h")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [counts(t or "", s) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.list_(pa.int32()))], names=["l", "h", "at", "n"])
 
-    got = sample.mapInArrow(features, "l string, h long, at array<int>, n array<int>").limit(2 * s.sample).collect()
-    got.sort(key=lambda r: (r["h"], r["l"]))
+    got = sample.mapInArrow(features, "l string, h long, at array<int>, n array<int>").limit(2 * s.sample + 60 * len(languages)).collect()
+    got.sort(key=lambda r: (r["h"], r["l"], len(r["at"])))
+    place = Counter()
+    got = [r for r in got if (place.update([r["l"]]) or place[r["l"]] <= each)]
     made = [(np.array(r["at"], np.int64), np.array(r["n"], np.float64), languages.index(r["l"])) for r in got if r["at"]]
     fitted, spare = [x for i, x in enumerate(made) if i % 5], made[::5]
     weights, bias = fit_weights(fitted, idf, len(languages), s)
@@ -190,7 +196,7 @@ def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lan
     return annotate(docs, [text_col], run, "lang_pred string, score double", list(docs.columns if keep is None else keep))
 
 
-def identified(docs: DataFrame, *, least: float = 0.5, **options) -> DataFrame:
+def identified(docs: DataFrame, *, least: float = 0.3, **options) -> DataFrame:
     """The documents whose language is told with at least this score, with all their columns."""
     df, r = mark(docs, **options)
     return df.filter((F.col(r)["lang_pred"] != UNDETERMINED) & (F.col(r)["score"] >= least)).drop(r)
