@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import durable
+from tracewell.llm.common import durable, rekeyed
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -13,7 +13,7 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     if not large:
         both = both.filter("v < u")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = both.join(least, "u")
+    met = both.join(rekeyed(least, "u"), "u")
     if large:
         return met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     return met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()

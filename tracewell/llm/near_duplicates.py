@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import textops as X
-from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, strings
+from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, strings
 from tracewell.llm.graph import components
 
 _NIBBLE = np.uint64(0x1111111111111111)
@@ -234,9 +234,9 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     # bands and signatures follow from the set, so any row of a class will do
     reps = durable(full.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x")).select("k1", "k2", "n", "rep", "x.bands", "x.sig"))
 
-    member = reps.select("rep", F.explode("bands").alias("bucket"))
+    member = reps.select("rep", F.explode("bands").alias("bucket"))  # a class has each bucket once
     counted = member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("least")).filter("size > 1")
-    met = durable(member.join(counted, "bucket"))
+    met = durable(member.join(rekeyed(counted, "bucket"), "bucket"))
     signatures = reps.select("rep", "n", "sig").dropDuplicates(["rep", "sig"])
     pairs = (
         met.filter(F.col("size") <= s.small).select("bucket", "rep").join(signatures, "rep")
