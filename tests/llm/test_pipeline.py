@@ -3,7 +3,7 @@ import re
 import corpus_pipeline
 from test_text_filters import brute_components, brute_decontamination, brute_longest, space_words
 
-from tracewell.llm import language_id
+from tracewell.llm import language_id, near_duplicates, quality_classifier, sharding
 from tracewell.llm.common import table
 
 
@@ -58,3 +58,18 @@ def test_messy_documents_go_through(spark, messy, sf_dir):
 def test_run_gives_packed_rows(spark, sf_dir):
     df = corpus_pipeline.run(spark, sf_dir)
     assert df.count() > 100 and {"doc_id", "ids", "sequence_id"} <= set(df.columns)
+
+
+def test_rows_without_an_id(spark, sf_dir):
+    text = "these are words enough for a text that no rule of quality would ever want to reject"
+    rows = [(None, text), (None, text), (1, text), (1, text), (None, None)] + [(i, f"{text} {i} in a number of further words {i * i}") for i in range(2, 40)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = near_duplicates.classes(docs).collect()
+    assert [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None] == [(None, True)] * 3
+    assert near_duplicates.one_of_each(docs).filter("doc_id is null").count() == 3
+    assert {r["component_id"] for r in got if r["doc_id"] == 1} == {1}
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 40)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    assert quality_classifier.digest(docs, labels).count() == language_id.digest(docs).count() == sharding.assign(docs).count() == len(rows)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    assert docs.filter("doc_id is null").count() > 0

@@ -222,15 +222,15 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     A document's set holds its distinct shingles of `shingle` words, A-Z in lower case; with fewer words the whole
     sequence is one.  Documents without words, or of null text, have empty sets and stand alone.  component_id is the
-    least id that links lead to.  Ids are whole numbers, not null, and name documents: rows that repeat an id with the
-    same text get the same answer, and rows that repeat it with other texts are classed by their own texts, where classes
-    of the same least id count as one.  An empty table gives an empty one; other columns are not looked at.
+    least id that links lead to.  Ids are whole numbers and name documents: rows that repeat an id with the same
+    text get the same answer, and rows that repeat it with other texts are classed by their own texts, where classes of
+    the same least id count as one. A row without an id is linked with nothing: its component is null and it is kept.  An empty table gives an empty one; other columns are not looked at.
     """
     s = settings
     prepare(docs.sparkSession)
     signed, r = annotate(docs, [text_col], lambda texts: _signatures(s, texts), "n long, k1 long, k2 long, bands array<long>, sig binary", [id_col])
     signed = durable(signed.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), f"{r}.*"))
-    full = signed.filter("n > 0")
+    full = signed.filter("n > 0 and doc_id is not null")
     # bands and signatures follow from the set, so any row of a class will do
     reps = durable(full.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x")).select("k1", "k2", "n", "rep", "x.bands", "x.sig"))
 
@@ -294,20 +294,21 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     found = components(durable(links))
     named = reps.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """The documents with one of each component left, the one of least id, with all their columns.
 
-    Of rows that repeat an id with the same text, one stays.
+    Of rows that repeat an id with the same text, one stays. Rows without an id all stay.
     """
     kept, here, same = fresh("kept"), fresh("id"), fresh("text")
-    chosen = classes(docs, id_col=id_col, text_col=text_col, settings=settings).filter("kept").select(F.col("doc_id").alias(kept)).distinct()
+    chosen = classes(docs, id_col=id_col, text_col=text_col, settings=settings).filter("kept and doc_id is not null").select(F.col("doc_id").alias(kept)).distinct()
     rows = docs.withColumn(here, F.col(quoted(id_col)).cast("long"))
     rows = rows.join(chosen, F.col(here) == F.col(kept), "left_semi").withColumn(same, F.xxhash64(F.coalesce(F.col(quoted(text_col)), F.lit(""))))
-    return rows.dropDuplicates([here, same]).drop(here, same)
+    unnamed = docs.filter(F.col(quoted(id_col)).isNull())
+    return rows.dropDuplicates([here, same]).drop(here, same).unionAll(unnamed)
 
 
 ORACLE = r"""

@@ -193,9 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     rows = docs.filter(~held_out(c(id_col))).select(c(id_col).alias("i"), c(text_col).alias("t"))
 
     def numbers(df: DataFrame, most: int) -> np.ndarray:
-        made, r = annotate(df, ["t"], lambda t: [pa.array(list(style(t)), pa.list_(pa.float64()))], "x array<double>", ["i"])
-        got = made.select("i", F.col(r)["x"].alias("x")).limit(most).collect()
-        return np.array([x["x"] for x in sorted(got, key=lambda x: (x["i"], x["x"]))], np.float64)
+        made, r = annotate(df, ["t"], lambda t: [pa.array(list(style(t)), pa.list_(pa.float64()))], "x array<double>", [])
+        return np.array(sorted(x["x"] for x in made.select(F.col(r)["x"].alias("x")).limit(most).collect()), np.float64)
 
     positive = numbers(rows.join(F.broadcast(trusted), "i"), s.positives)
     unlabelled = numbers(_some(rows, "i", s.unlabelled, 5), s.unlabelled)
