@@ -5,7 +5,7 @@ from tracewell.operators import manifest as M
 from tracewell.operators import membership
 from tracewell.sources import files
 
-MASTER = b"!!!!!\n?4o:U\nEirik2002\nEirik2002123\ncodex-local-only-lookup-proof\nzebra\n"
+MASTER = b"!!!!!\n?4o:U\nAdmin2002\nAdmin2002123\nfound-only-in-the-sorted-file\nzebra\n"
 SHARD = b"!!!!!\n?4o:U\n"
 MANIFEST = b"all_in_one_1.txt\n!!!!!\n?4o:U\n"
 
@@ -52,20 +52,20 @@ def test_files_cut_into_blocks_are_numbered_alike(spark, tmp_path):
 
 def test_only_whole_records_match_and_probes_stay_hidden(spark, corpus):
     lines = files.read_lines(spark, f"{corpus}/all_in_one/all_in_one_sorted.txt")
-    probes = spark.createDataFrame([(p,) for p in ("Eirik2002", "Eirik", "codex-local-only-lookup-proof", "~", "", "ZEBRA", "-rf")] + [(None,)], "probe string")
+    probes = spark.createDataFrame([(p,) for p in ("Admin2002", "Admin", "found-only-in-the-sorted-file", "~", "", "ZEBRA", "-rf")] + [(None,)], "probe string")
     found = membership.membership(probes, lines)
-    assert {r["probe"]: r["hit"] for r in found.collect()} == {"Eirik2002": True, "Eirik": False, "codex-local-only-lookup-proof": True, "~": False, "": False, "ZEBRA": False, "-rf": False, None: False}
+    assert {r["probe"]: r["hit"] for r in found.collect()} == {"Admin2002": True, "Admin": False, "found-only-in-the-sorted-file": True, "~": False, "": False, "ZEBRA": False, "-rf": False, None: False}
     places = membership.locations(probes, lines, ["file", "offset"])
-    assert rows(places, "probe", "offset") == [("Eirik2002", 12), ("codex-local-only-lookup-proof", 35)]
+    assert rows(places, "probe", "offset") == [("Admin2002", 12), ("found-only-in-the-sorted-file", 35)]
     assert "line" not in places.columns
-    assert rows(membership.proper_prefixes(probes, lines), "probe") == [("Eirik",)]
+    assert rows(membership.proper_prefixes(probes, lines), "probe") == [("Admin",)]
 
 
 def test_master_supersedes_its_shards(spark, corpus):
     index = files.build_index(spark, corpus)
     assert rows(index, "kind", "file", "lo", "hi", "size_bytes", "place") == [("sorted", "all_in_one_sorted.txt", "!!!!!", "zebra", 71, 1)]
-    probes = spark.createDataFrame([("Eirik",), ("~",), ("",)], "probe string")
-    assert rows(membership.candidates(probes, index), "probe") == [("Eirik",)]
+    probes = spark.createDataFrame([("Admin",), ("~",), ("",)], "probe string")
+    assert rows(membership.candidates(probes, index), "probe") == [("Admin",)]
 
 
 def test_status_and_audit_of_a_sound_corpus(spark, corpus):
