@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import durable, rekeyed
+from tracewell.llm.common import durable
 
+#: Edges that are worth a task of their own; fewer tasks than that write fewer, larger files.
+_TASK_EDGES = 20_000
+_FEWEST_TASKS = 8
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+
+def _stars(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if not large:
         both = both.filter("v < u")
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = both.join(rekeyed(least, "u"), "u")
+    met = both.join(least, "u")
     if large:
-        return met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    return met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+        found = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    else:
+        found = met.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+    return found.coalesce(tasks).distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,9 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
     Each round's edges are checkpointed, so lineage stays short and a lost executor costs one round at most.
     """
     seen = None
-    edges = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    edges = durable(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    tasks = max(_FEWEST_TASKS, -(-edges.count() // _TASK_EDGES))
     while True:
-        edges = durable(_stars(_stars(edges, True), False))
+        edges = durable(_stars(_stars(edges, True, tasks), False, tasks))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break

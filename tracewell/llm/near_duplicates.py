@@ -43,7 +43,7 @@ class Settings:
     rows: int = 4
     small: int = 16
     block_sets: int = 1024
-    block_shingles: int = 1_000_000
+    block_shingles: int = 500_000
     bits: int = 4  # four fill a nibble, which is what match_counts counts
 
     @property
@@ -236,7 +236,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     member = reps.select("rep", F.explode("bands").alias("bucket"))  # a class has each bucket once
     counted = member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("least")).filter("size > 1")
-    met = durable(member.join(rekeyed(counted, "bucket"), "bucket"))
+    met = durable(member.join(counted, "bucket"))
     signatures = reps.select("rep", "n", "sig").dropDuplicates(["rep", "sig"])
     pairs = (
         met.filter(F.col("size") <= s.small).select("bucket", "rep").join(signatures, "rep")
@@ -274,10 +274,12 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     common = F.size(F.array_intersect("x", "y"))
     links = pairs.join(a, "a").join(b, "b").filter(100 * common >= s.percent * (F.size("x") + F.size("y") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
-    sized = sets.join(hot.withColumnRenamed("node", "rep"), "rep")
-    cut = sized.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / s.block_sets), F.ceil(F.sum("n") / s.block_shingles), F.lit(1)).cast("long").alias("parts"))
+    # how many blocks each group is cut into, and each class's group: rows of ids, so no set waits for a hot group
+    grouped = hot.withColumnRenamed("node", "rep").join(reps.groupBy("rep").agg(F.max("n").alias("n")), "rep")
+    cut = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / s.block_sets), F.ceil(F.sum("n") / s.block_shingles), F.lit(1)).cast("long").alias("parts"))
+    placed = grouped.join(rekeyed(cut, "component"), "component").select("rep", "component", "parts")
     blocks = (
-        sized.join(cut, "component").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
+        sets.join(placed, "rep").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
         .select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "set", "sig")
     )
