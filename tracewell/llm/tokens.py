@@ -17,7 +17,7 @@ import pyarrow as pa
 from tracewell.llm import textops as X
 
 _SLOT_BITS = 20
-_MOST_PIECES = 1_000_000
+_MOST_PIECES = 500_000
 _LATIN = 0x250
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = range(5)
 
