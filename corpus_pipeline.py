@@ -13,6 +13,10 @@ from tracewell.llm import decontamination, language_id, near_duplicates, packing
 from tracewell.llm.common import durable, table
 
 
+#: Near copies by either rule: five words at 0.8, and what op8_minhash links. 28 bands miss a pair at 0.8 with probability 4e-7.
+NEAR = (near_duplicates.Settings(), near_duplicates.Settings(shingle=5, percent=80, bands=28))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repetition.passing(docs)
 
@@ -22,7 +26,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_duplicates.one_of_each(docs)
+    return near_duplicates.one_of_each(docs, rules=NEAR)
 
 
 def benchmark_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import textops as X
-from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, strings
+from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, release, strings
 from tracewell.llm.graph import components
 
 _NIBBLE = np.uint64(0x1111111111111111)
 _SEED = np.uint64(0xD1B54A32D192ED03)
 #: Candidate documents are found again in the texts behind a bitmap of this many bits, whatever their number.
 _BITMAP = 1 << 20
+#: The most names of rows that are sent to every executor.
+_SENT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -300,17 +302,37 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Settings, ...] = (Settings(),)) -> DataFrame:
     """The documents with one of each component left, the one of least id, with all their columns.
 
-    Of rows that repeat an id with the same text, one stays. Rows without an id all stay.
+    Texts that any of the rules links are of one component. Of rows that repeat an id with the same text, one stays.
+    Rows that repeat an id with other texts are judged each by its own text. Rows without an id all stay.
     """
-    kept, here, same = fresh("kept"), fresh("id"), fresh("text")
-    chosen = classes(docs, id_col=id_col, text_col=text_col, settings=settings).filter("kept and doc_id is not null").select(F.col("doc_id").alias(kept)).distinct()
-    rows = docs.withColumn(here, F.col(quoted(id_col)).cast("long"))
-    rows = rows.join(chosen, F.col(here) == F.col(kept), "left_semi").withColumn(same, F.xxhash64(F.coalesce(F.col(quoted(text_col)), F.lit(""))))
-    unnamed = docs.filter(F.col(quoted(id_col)).isNull())
-    return rows.dropDuplicates([here, same]).drop(here, same).unionAll(unnamed)
+    here = fresh("row")
+    named = F.col(quoted(id_col)).isNotNull()
+    # names a row by its id and text, so an id's other texts are other nodes
+    rows = docs.filter(named).withColumn(here, F.xxhash64(F.col(quoted(id_col)).cast("long"), F.coalesce(F.col(quoted(text_col)), F.lit(""))))
+    edges = None
+    for s in rules:
+        found = durable(classes(rows, id_col=here, text_col=text_col, settings=s).filter("not kept").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).distinct())
+        edges = found if edges is None else edges.unionByName(found)
+        release(docs.sparkSession)
+    linked = components(edges)
+    counted = rows.groupBy(F.col(here).alias("node")).agg(F.min(F.col(quoted(id_col)).cast("long")).alias("id"), F.count("*").alias("n"))
+    seen = durable(counted.join(linked, "node", "left").filter("n > 1 or component is not null"))
+    first = seen.filter("component is not null").groupBy("component").agg(F.min(F.struct("id", "node")).alias("x")).select(F.col("x.node").alias("node"))
+    gone = durable(seen.filter("component is not null").select("node").join(first, "node", "left_anti"))
+    repeated = seen.filter("n > 1").select("node").join(gone, "node", "left_anti")
+
+    def small(df: DataFrame) -> DataFrame:  # texts are only shuffled past what is too large to be sent around
+        df = durable(df.withColumnRenamed("node", fresh("node")))
+        return F.broadcast(df) if df.count() <= _SENT else df
+
+    gone, repeated = small(gone), small(repeated)
+    left = rows.join(gone, F.col(here) == F.col(gone.columns[0]), "left_anti")
+    same = F.col(here) == F.col(repeated.columns[0])
+    once, more = left.join(repeated, same, "left_anti"), left.join(repeated, same, "left_semi").dropDuplicates([here])
+    return once.unionAll(more).drop(here).unionAll(docs.filter(~named))
 
 
 ORACLE = r"""
