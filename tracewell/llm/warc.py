@@ -280,5 +280,5 @@ def write(derived: DataFrame, path: str, compression: str = "gzip") -> None:
 
 
 def digest(pages: DataFrame) -> DataFrame:
-    """What op3 returns: every derived record of every page, without its text."""
-    return derivatives(responses(pages), keep=["page_id"]).drop("record")
+    """What op3 returns: every derived record of every page, with its text."""
+    return derivatives(responses(pages), keep=["page_id"])
