@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var".split())
 RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg math object audio video canvas select".split())
+# never closed, these hold the rest of the page; of other RAW elements only the tag is passed over then
+TO_THE_END = frozenset("script style template textarea title iframe xmp noembed noframes".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # an element begun closes open ones of these names, as far up as the names after them
@@ -137,7 +139,10 @@ def read(page: str) -> Tree:
         if tag in RAW:
             if not raw.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-                at = n if end is None else end.end()
+                if end is not None:
+                    at = end.end()
+                elif tag in TO_THE_END:
+                    at = n
             continue
         if tag in VOID:
             if tag == "hr":
