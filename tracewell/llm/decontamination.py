@@ -6,12 +6,15 @@ one shingle of each window, the rarest over all documents.  A shingle met in a d
 belong to and its place in each; positional and length bounds drop those that would leave the document, and the rest
 are confirmed word by word over the window's span.
 
-Documents are never shuffled.  The benchmark comes in blocks of at most `block_bytes` of text, which is checked; each
-block is one pass over the documents for the shingles' frequencies and one for the join, so its size is no limit.
+Documents are never shuffled.  The benchmark comes in blocks of at most `block_windows` windows and `block_bytes` of
+text, both checked; a window costs some 50 bytes in what every executor is sent, and its text.  Shingle frequencies of _TOGETHER blocks are taken
+in one pass over the documents, and the join is one pass for each block, so the benchmark's size is no limit.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,19 +27,26 @@ from tracewell.llm.common import annotate, durable, prepare, quoted, strings
 
 _FILTER_BITS = 20
 _STATE = "n_words long, lo array<int>, hi array<int>, items array<string>"
+#: Blocks whose frequencies are counted in the same pass.
+_TOGETHER = 4
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 @dataclass
 class Block:
-    """Windows of some items.  words: hash of each word, padded; of: CSR from windows to item ids."""
+    """Windows of some items, as places among the items' words, laid end to end."""
 
-    words: np.ndarray
+    raw: np.ndarray  # the items' bytes, and where their words begin and end
+    starts: np.ndarray
+    ends: np.ndarray
+    words: np.ndarray  # hash of each word
+    first: np.ndarray  # first word of each distinct window
     length: np.ndarray
-    of_first: np.ndarray
-    of_item: list[str]
-    shingle: np.ndarray  # windows x places: hashes, 0 beyond a window's end
+    of_first: np.ndarray  # CSR from windows to items
+    of_item: np.ndarray
+    ids: list[str]
+    widths: list[int]  # words in a shingle; windows of fewer words are shingles themselves
     tokens: np.ndarray  # all shingles, sorted
-    width: dict[int, int]  # window length -> words in a shingle
     # chosen by rarity, CSR over the sorted distinct prefix tokens:
     prefix: np.ndarray | None = None
     prefix_first: np.ndarray | None = None
@@ -44,6 +54,21 @@ class Block:
     prefix_place: np.ndarray | None = None
     table: np.ndarray | None = None
 
+    def of_width(self, k: int) -> np.ndarray:
+        """Whether a window's shingles have k words."""
+        return self.length >= k if k == self.widths[-1] else self.length == k
+
+    @property
+    def shingle(self) -> np.ndarray:
+        """Windows x places: their shingles' hashes, 0 beyond a window's end."""
+        out = np.zeros((len(self.length), int(self.length.max(initial=1))), np.uint64)
+        for k in self.widths:
+            sh, mine = _shingles(self.words, k), self.of_width(k)
+            for j in range(out.shape[1] - k + 1):
+                on = np.flatnonzero(mine & (j <= self.length - k))
+                out[on, j] = sh[self.first[on] + j]
+        return out
+
 
 def _filter_table(tokens: np.ndarray) -> np.ndarray:
     t = np.zeros(1 << _FILTER_BITS, bool)
@@ -51,33 +76,47 @@ def _filter_table(tokens: np.ndarray) -> np.ndarray:
     return t
 
 
-def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _split(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lowered bytes, where words begin and end, their hashes, and the first word of each text."""
     raw, offs = X.byte_view(texts)
     raw = X.lowered(raw)
     starts, ends, first = X.words(raw, offs, "alnum")
-    return X.span_hashes(raw, starts, ends), first
+    return raw, starts, ends, X.span_hashes(raw, starts, ends), first
+
+
+def _shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash of k words from each word on, whatever text they belong to."""
+    return X.windows(h, np.array([0, len(h)]), k)[0]
 
 
 def build_block(ids: list[str], texts: list[str], size: int, shingle: int) -> Block:
-    h, first = _hashed(pa.array(texts, pa.string()))
-    rows: dict[tuple, set[str]] = {}
-    for item, a, b in zip(ids, first[:-1], first[1:], strict=True):
-        n = min(size, b - a)
-        for s in range(a, b - n + 1 if n else a):
-            rows.setdefault(tuple(h[s : s + n].tolist()), set()).add(item)
-    length = np.array([len(k) for k in rows], np.int64)
-    words = np.zeros((len(rows), size), np.uint64)
-    for i, k in enumerate(rows):
-        words[i, : len(k)] = k
-    owners = [sorted(v) for v in rows.values()]
-    width = {int(n): min(shingle, int(n)) for n in np.unique(length)}
-    grid = np.zeros((len(rows), size), np.uint64)
-    for n, k in width.items():
-        at = np.flatnonzero(length == n)
-        flat = words[at, :n].reshape(-1)
-        sh, _ = X.windows(flat, np.arange(0, len(flat) + 1, n), k)
-        grid[at[:, None], np.arange(n - k + 1)] = sh.reshape(len(at), n - k + 1)
-    return Block(words, length, np.concatenate([[0], np.cumsum([len(x) for x in owners])]).astype(np.int64), [x for v in owners for x in v], grid, np.unique(grid[grid != 0]), width)
+    raw, starts, ends, h, first = _split(pa.array(texts, pa.string()))
+    n = np.minimum(np.diff(first), size)
+    many = np.where(n > 0, np.diff(first) - n + 1, 0)
+    item = np.repeat(np.arange(len(ids)), many)
+    at = first[:-1][item] + np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many)
+    length = n[item]
+    # equal windows become one: two hashes of all their words tell them apart
+    one, two = np.zeros(len(at), np.uint64), length.astype(np.uint64)
+    for j in range(size):
+        w = np.where(j < length, h[np.minimum(at + j, len(h) - 1)], np.uint64(0)) if len(h) else one
+        one, two = X.mix(one) + w, X.mix(two ^ w)
+    order = np.lexsort((item, one, two))
+    new = np.concatenate([[True], (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])])[: len(order)]
+    again = np.concatenate([[False], (~new[1:]) & (item[order][1:] == item[order][:-1])])[: len(order)]
+    head = order[new]
+    cuts = np.append(np.flatnonzero(new[~again]), (~again).sum())
+    widths = sorted({min(shingle, int(k)) for k in np.unique(length)})
+    b = Block(raw, starts.astype(np.int32), ends.astype(np.int32), h, at[head].astype(np.int32), length[head].astype(np.int32), cuts.astype(np.int32), item[order[~again]].astype(np.int32), ids, widths, np.zeros(0, np.uint64))
+    found = [b.tokens]
+    for k in widths:
+        sh, mine = _shingles(h, k), b.of_width(k)
+        used = np.zeros(len(sh), bool)
+        for j in range(int((b.length[mine] - k).max(initial=-1)) + 1):
+            used[b.first[mine & (j <= b.length - k)] + j] = True
+        found.append(sh[used])
+    b.tokens = np.unique(np.concatenate(found))
+    return b
 
 
 def choose_prefixes(b: Block, counts: np.ndarray) -> Block:
@@ -86,14 +125,21 @@ def choose_prefixes(b: Block, counts: np.ndarray) -> Block:
         return b
     rank = np.empty(len(b.tokens), np.int64)
     rank[np.lexsort((b.tokens, counts))] = np.arange(len(b.tokens))
-    where = np.searchsorted(b.tokens, b.shingle)
-    ranks = np.where(b.shingle != 0, rank[np.minimum(where, len(rank) - 1)], len(rank))
-    place = ranks.argmin(1)
-    token = b.shingle[np.arange(len(place)), place]
+    best, place = np.full(len(b.length), len(rank)), np.zeros(len(b.length), np.int64)
+    for k in b.widths:
+        mine = np.flatnonzero(b.of_width(k))
+        sh = _shingles(b.words, k)
+        where = np.minimum(np.searchsorted(b.tokens, sh), len(rank) - 1)
+        for j in range(int((b.length[mine] - k).max(initial=-1)) + 1):
+            on = mine[j <= b.length[mine] - k]
+            r = rank[where[b.first[on] + j]]
+            less = r < best[on]
+            best[on[less]], place[on[less]] = r[less], j
+    token = b.tokens[np.argsort(rank)][best]
     order = np.argsort(token, kind="stable")
     b.prefix, firsts = np.unique(token[order], return_index=True)
-    b.prefix_first = np.append(firsts, len(order))
-    b.prefix_window, b.prefix_place = order, place[order]
+    b.prefix_first = np.append(firsts, len(order)).astype(np.int32)
+    b.prefix_window, b.prefix_place = order.astype(np.int32), place[order].astype(np.int16)
     b.table = _filter_table(b.prefix)
     return b
 
@@ -106,37 +152,43 @@ def _lookup(sh: np.ndarray, table: np.ndarray, tokens: np.ndarray) -> tuple[np.n
     return maybe[ok], at[ok]
 
 
-def find(h: np.ndarray, first: np.ndarray, b: Block) -> tuple[np.ndarray, np.ndarray]:
+def find(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, h: np.ndarray, first: np.ndarray, b: Block) -> tuple[np.ndarray, np.ndarray]:
     """(first word, window) of every occurrence of a window in the rows of a batch."""
     if not len(b.length):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     row = X.row_of(first)
     out = []
-    for k in sorted(set(b.width.values())):
+    for k in b.widths:
         sh, word = X.windows(h, first, k)
         hit, token = _lookup(sh, b.table, b.prefix)
-        n = b.prefix_first[token + 1] - b.prefix_first[token]
+        n = (b.prefix_first[token + 1] - b.prefix_first[token]).astype(np.int64)
         at = np.repeat(b.prefix_first[token], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         window, met = b.prefix_window[at], np.repeat(word[hit], n)
         start = met - b.prefix_place[at]
         r, size = row[met], b.length[window]
         ok = (start >= first[r]) & (start + size <= first[r + 1])  # positional and length bounds
         start, window, size = start[ok], window[ok], size[ok]
-        for j in range(b.words.shape[1]):  # exact containment over the window's span
-            ok = (j >= size) | (h[np.minimum(start + j, len(h) - 1)] == b.words[window, j])
+        for j in range(int(b.length.max())):  # exact containment over the window's span, by hashes first
+            ok = (j >= size) | (h[np.minimum(start + j, len(h) - 1)] == b.words[np.minimum(b.first[window] + j, len(b.words) - 1)])
             start, window, size = start[ok], window[ok], size[ok]
-        out.append((start, window))
+        # and what they leave, word by word
+        begin = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(begin, size)
+        mine, theirs = np.repeat(start, size) + place, np.repeat(b.first[window], size) + place
+        differ = np.concatenate([[0], np.cumsum(~X.same_spans(raw, starts[mine], ends[mine], b.raw, b.starts[theirs], b.ends[theirs]))])
+        ok = differ[begin + size] == differ[begin]
+        out.append((start[ok], window[ok]))
     return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
-    """Lists of (id, text) of at most block_bytes, or of one item."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_windows: int, block_bytes: int):
+    """Lists of (id, text) of at most block_windows words, so of no more windows, and block_bytes; or of one item."""
     items = benchmark.select(F.coalesce(F.col(quoted(item_col)).cast("string"), F.lit("null")).alias("i"), F.col(quoted(text_col)).alias("t")).filter("t is not null").distinct()
-    size = F.octet_length("t") + F.octet_length("i") + 64
-    n = max(1, -(-int(items.agg(F.sum(size)).first()[0] or 0) // block_bytes))
+    size = F.greatest(F.regexp_count("t", F.lit(_WORD)) / block_windows, (F.octet_length("t") + F.octet_length("i") + 64) / block_bytes)  # of a block
+    n = max(1, math.ceil(items.agg(F.sum(size)).first()[0] or 0))
     while n > 1:
         block = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-        most = items.groupBy(block.alias("b")).agg(F.sum(size).alias("s"), F.count("*").alias("c")).filter(f"s > {block_bytes} and c > 1").limit(1).count()
+        most = items.groupBy(block.alias("b")).agg(F.sum(size).alias("s"), F.count("*").alias("c")).filter("s > 1 and c > 1").limit(1).count()
         if not most:
             break
         n *= 2
@@ -144,15 +196,15 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
         yield items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k).collect() if n > 1 else items.collect()
 
 
-def _frequencies(docs: DataFrame, text_col: str, b: Block) -> np.ndarray:
-    """How often each shingle of the block occurs in all documents; partial counts are made before the shuffle."""
-    sent = docs.sparkSession.sparkContext.broadcast((b.tokens, _filter_table(b.tokens), sorted(set(b.width.values()))))
+def _frequencies(docs: DataFrame, text_col: str, tokens: np.ndarray, widths: list[int]) -> np.ndarray:
+    """How often each of these shingles occurs in all documents; partial counts are made before the shuffle."""
+    sent = docs.sparkSession.sparkContext.broadcast((tokens, _filter_table(tokens)))
 
     def run(batches):
-        tokens, table, widths = sent.value
+        tokens, table = sent.value
         total = np.zeros(len(tokens), np.int64)
         for batch in batches:
-            h, first = _hashed(strings(batch.column(0)))
+            h, first = _split(strings(batch.column(0)))[3:]
             for k in widths:
                 sh, _ = X.windows(h, first, k)
                 total += np.bincount(_lookup(sh, table, tokens)[1], minlength=len(tokens))
@@ -160,12 +212,26 @@ def _frequencies(docs: DataFrame, text_col: str, b: Block) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at])], names=["token", "n"])
 
     found = docs.select(quoted(text_col)).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(b.tokens), np.int64)
+    out = np.zeros(len(tokens), np.int64)
     out[found["token"].to_numpy()] = found["n"].to_numpy()
+    sent.unpersist()
     return out
 
 
-def mark(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, size: int = 10, shingle: int = 3, block_bytes: int = 16 << 20) -> tuple[DataFrame, str]:
+def _ready(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, size: int, shingle: int, block_windows: int, block_bytes: int):
+    """Blocks with their prefixes chosen."""
+    rows = _blocks(benchmark, item_col, item_text_col, block_windows, block_bytes)
+    while some := [build_block([r["i"] for r in x], [r["t"] for r in x], size, shingle) for x in itertools.islice(rows, _TOGETHER)]:
+        tokens = np.unique(np.concatenate([b.tokens for b in some]))
+        counts = _frequencies(docs, text_col, tokens, sorted({k for b in some for k in b.widths})) if len(tokens) else tokens
+        while some:
+            b = some.pop(0)
+            choose_prefixes(b, counts[np.searchsorted(tokens, b.tokens)])
+            b.tokens = b.tokens[:0]  # no more needed
+            yield b
+
+
+def mark(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None, size: int = 10, shingle: int = 3, block_windows: int = 1 << 20, block_bytes: int = 16 << 20) -> tuple[DataFrame, str]:
     """The columns `keep` of docs with a struct column: n_words, n_hit, n_items, items (sorted), lo and hi (hit spans).
 
     Words are runs of digits, letters and characters beyond ASCII, A-Z in lower case.  A null or empty text has no
@@ -175,22 +241,19 @@ def mark(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", item_
     prepare(docs.sparkSession)
     keep = list(docs.columns if keep is None else keep)
     df, state = docs, None
-    for rows in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        b = build_block([r["i"] for r in rows], [r["t"] for r in rows], size, shingle)
-        if len(b.tokens):
-            choose_prefixes(b, _frequencies(docs, text_col, b))
+    for b in _ready(docs, benchmark, text_col, item_col, item_text_col, size, shingle, block_windows, block_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(b)
 
         def run(texts, before=None, sent=sent):
             b = sent.value
-            h, first = _hashed(strings(texts))
-            start, window = find(h, first, b)
+            raw, starts, ends, h, first = _split(strings(texts))
+            start, window = find(raw, starts, ends, h, first, b)
             hit = X.cover(start, start + b.length[window], len(h)) if len(start) else np.zeros(len(h), bool)
             row = X.row_of(first)
             pair = np.unique(np.stack([row[start], window]), axis=1) if len(start) else np.zeros((2, 0), np.int64)
             items: dict[int, set[str]] = {}
             for r, w in pair.T.tolist():
-                items.setdefault(r, set()).update(b.of_item[b.of_first[w] : b.of_first[w + 1]])
+                items.setdefault(r, set()).update(b.ids[i] for i in b.of_item[b.of_first[w] : b.of_first[w + 1]].tolist())
             if before is not None:
                 for r, x in enumerate(before.to_pylist()):
                     if x["items"]:

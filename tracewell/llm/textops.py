@@ -11,9 +11,9 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BLOCK = 1 << 19  # bytes hashed at a time
+_KEY = np.uint64(0xA24BAED4963EE407)
+_PLACE = np.uint64(0x9E3779B97F4A7C15)
+_BLOCK = 1 << 18  # chunks of eight bytes worked on at a time
 
 
 def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -68,13 +68,6 @@ def words(raw: np.ndarray, offs: np.ndarray, kind: str) -> tuple[np.ndarray, np.
     return starts, ends, np.searchsorted(starts, offs)
 
 
-@cache
-def _powers(n: int, inverse: bool) -> np.ndarray:
-    p = np.full(n, _INVERSE if inverse else _BASE, np.uint64)
-    p[0] = 1
-    return np.multiply.accumulate(p)
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit (the finaliser of splitmix64)."""
     h = h ^ (h >> np.uint64(30))
@@ -85,24 +78,61 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _chunks(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Eight bytes of each span from 8 * place on, as little-endian numbers; beyond a span's end they are zero."""
+    at = starts + 8 * places
+    if len(raw) < 8:
+        raw = np.concatenate([raw, np.zeros(8 - len(raw), np.uint8)])
+    load = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    from_ = np.minimum(at, len(load) - 1)
+    v = load[from_].astype(np.uint64) >> (8 * (at - from_)).astype(np.uint64)
+    left = np.minimum(sizes - 8 * places, 8)
+    return v & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * (8 - left)).astype(np.uint64))
+
+
+def _chunked(sizes: np.ndarray):
+    """(first span, one beyond the last, spans, places, where each span's begin) for blocks of chunks of the spans.
+
+    A span longer than a block is met in several.
+    """
+    total = np.concatenate([[0], np.cumsum(-(-sizes // 8))])
+    for lo in range(0, int(total[-1]), _BLOCK):
+        hi = min(lo + _BLOCK, int(total[-1]))
+        a, b = int(np.searchsorted(total, lo, side="right")) - 1, int(np.searchsorted(total, hi, side="left"))
+        begin = np.maximum(total[a:b], lo)
+        n = np.minimum(total[a + 1 : b + 1], hi) - begin
+        span = np.repeat(np.arange(a, b), n)
+        yield span, np.arange(lo, hi) - total[span], begin - lo, n
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end), which are in order and don't overlap; equal spans are equal."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + _BLOCK, side="right")))
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        n = 1 << max(12, (hi - lo).bit_length())
-        total = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((raw[lo:hi].astype(np.uint64) + np.uint64(1)) * _powers(n, False)[: hi - lo], out=total[1:])
-        s = starts[i:j] - lo
-        out[i:j] = (total[ends[i:j] - lo] - total[s]) * _powers(n, True)[s]
-        if n > 4 * _BLOCK:
-            _powers.cache_clear()
-        i = j
+    """64-bit hashes of the byte spans [start, end); equal spans are equal.
+
+    Every eight bytes are spread over all bits together with their place, and summed; so unlike a polynomial there is
+    no arithmetic by which two texts could be made to agree, and long spans are no worse than short ones.
+    """
+    starts, sizes = starts.astype(np.int64), (ends - starts).astype(np.int64)
+    out = sizes.astype(np.uint64) * _PLACE
+    for span, place, begin, n in _chunked(sizes):
+        v = mix(mix(_chunks(raw, starts[span], sizes[span], place) ^ _KEY) + place.astype(np.uint64) * _PLACE)
+        full = n > 0
+        some = np.add.reduceat(v, begin[full])
+        out[span[begin[full]]] += some
     return mix(out)
 
 
+def same_spans(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray, other_starts: np.ndarray, other_ends: np.ndarray) -> np.ndarray:
+    """Whether each span of raw has the bytes of its span of other."""
+    starts, sizes, other_starts = starts.astype(np.int64), (ends - starts).astype(np.int64), other_starts.astype(np.int64)
+    same = sizes == other_ends - other_starts
+    at = np.flatnonzero(same)
+    starts, other_starts, sizes = starts[at], other_starts[at], sizes[at]
+    for span, place, _, _ in _chunked(sizes):
+        differ = _chunks(raw, starts[span], sizes[span], place) != _chunks(other, other_starts[span], sizes[span], place)
+        same[at[span[differ]]] = False
+    return same
+
+
 def windows(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of k consecutive words that don't leave their row, and the index of each one's first word."""
     n = len(h) - k + 1

@@ -2,7 +2,8 @@
 
 A byte-level BPE splits a text into pieces by a fixed pattern and merges within each piece alone, so equal pieces have
 equal ids.  Pieces of texts in Latin script are found with numpy and only those not met before go to the tokenizer;
-texts with any other character go to the tokenizer whole.  Both ways give the tokenizer's own ids.
+texts with any other character go to the tokenizer whole.  Both ways give the tokenizer's own ids: a piece is taken for
+one met before only if their characters agree.
 """
 
 from __future__ import annotations
@@ -85,10 +86,21 @@ class Tokenizer:
         self.pool = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.used = 0
+        self.said = np.zeros(1 << 20, np.uint8)  # the pieces' characters, two bytes each
+        self.said_begin = np.zeros(1 << 16, np.int64)
+        self.said_used = 0
 
-    def _grow(self, ids: list[list[int]]) -> int:
+    def _grow(self, ids: list[list[int]], raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> int:
         """Adds pieces, returns the number of the first."""
         first = len(self.known)
+        long = ends - starts
+        while self.said_used + int(long.sum()) > len(self.said):
+            self.said = np.concatenate([self.said, np.zeros_like(self.said)])
+        while first + len(ids) + 1 > len(self.said_begin):
+            self.said_begin = np.concatenate([self.said_begin, np.zeros_like(self.said_begin)])
+        self.said_begin[first + 1 : first + 1 + len(ids)] = self.said_used + np.cumsum(long)
+        X.gather(raw, starts, long, self.said, self.said_begin[first : first + len(ids)])
+        self.said_used += int(long.sum())
         sizes = np.array([len(x) for x in ids], np.int64)
         flat = np.array([y for x in ids for y in x], np.uint32)
         while self.used + len(flat) > len(self.pool):
@@ -105,7 +117,8 @@ class Tokenizer:
             self._forget()
         starts = piece_starts(cp, first)
         ends = np.append(starts[1:], len(cp))
-        h = X.span_hashes(cp, starts, ends)
+        raw, begins, stops = cp.astype("<u2").view(np.uint8), 2 * starts, 2 * ends
+        h = X.span_hashes(raw, begins, stops)
         slot = (h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
         which = np.where(self.key[slot] == h, self.at[slot], -1)
         miss = np.flatnonzero(which < 0)
@@ -114,18 +127,26 @@ class Tokenizer:
             keys = u.tolist()
             new = [i for i, k in enumerate(keys) if k not in self.known]
             if new:
-                spans = [(int(starts[miss[one[i]]]), int(ends[miss[one[i]]])) for i in new]
-                made = self.made.encode_batch_fast([cp[a:b].tobytes().decode("utf-32-le") for a, b in spans], add_special_tokens=False)
-                at = self._grow([x.ids for x in made])
+                at = miss[one[new]]
+                made = self.made.encode_batch_fast([cp[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], add_special_tokens=False)
+                at = self._grow([x.ids for x in made], raw, begins[at], stops[at])
                 self.known.update((keys[i], at + k) for k, i in enumerate(new))
             found = np.array([self.known[k] for k in keys], np.int64)
             which[miss] = found[inverse]
             into = (u >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
             self.key[into], self.at[into] = u, found
         size = self.begin[which + 1] - self.begin[which]
+        other = np.flatnonzero(~X.same_spans(raw, begins, stops, self.said, self.said_begin[which], self.said_begin[which + 1]))
+        own = [x.ids for x in self.made.encode_batch_fast([cp[starts[i] : ends[i]].tobytes().decode("utf-32-le") for i in other], add_special_tokens=False)] if len(other) else []
+        size[other] = [len(x) for x in own]
         ids = np.empty(int(size.sum()), np.uint32)
-        X.gather(self.pool, self.begin[which], size, ids, np.cumsum(size) - size)
-        total = np.concatenate([[0], np.cumsum(size)])
+        dest = np.cumsum(size) - size
+        held = np.ones(len(size), bool)
+        held[other] = False
+        X.gather(self.pool, self.begin[which[held]], size[held], ids, dest[held])
+        for i, x in zip(other.tolist(), own, strict=True):
+            ids[dest[i] : dest[i] + len(x)] = x
+        total = np.append(dest, len(ids))
         return ids, total[np.searchsorted(starts, first)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
