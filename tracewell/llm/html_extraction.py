@@ -4,13 +4,19 @@ Each block element and text leaf of a page is a binary variable: does it hold ma
 class and id, lengths, links) gives a unary potential; each child and its parent share a potential by the child's kind.
 Sum-product messages upward and downward give every node's exact marginal.  The weights maximise the likelihood of
 labelled pages, whose gradient needs the same marginals.  Messages of all pages of a batch go level by level in numpy.
+
+Siblings of one tag are alike for reasons that the tree doesn't show, so scores of short paragraphs aren't scores of
+independent witnesses.  Beyond _ALIKE of them under one parent their messages upward are weakened, so that together
+they count as _ALIKE; what comes down to each is whole.  Up to that number marginals are exact.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +41,8 @@ _HINTS = {
 }
 _HINT = {w: sorted(k for k, v in _HINTS.items() if w in v.split()) for w in sorted({w for v in _HINTS.values() for w in v.split()})}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Siblings of one tag that speak for themselves.
+_ALIKE = 6
 _KINDS = ("leaf", "heading", "p", "list", "cell", "section", "main", "around", "other")
 _KIND = {t: k for k, ts in {"heading": dom.HEADINGS, "p": {"p", "blockquote", "pre", "figcaption", "figure"}, "list": {"ul", "ol", "li", "dl", "dt", "dd"}, "cell": {"table", "tbody", "tr", "td", "th"}, "section": {"div", "section"}, "main": {"article", "main"}, "around": {"nav", "aside", "footer", "header", "form", "menu", "dialog", "button", "address"}, "leaf": {"#text"}}.items() for t in ts}
 
@@ -91,19 +99,20 @@ class Forest:
     feature_node: np.ndarray
     feature: np.ndarray
     levels: list[np.ndarray]
-    page: np.ndarray
+    weight: np.ndarray  # of a node's message to its parent
 
     @classmethod
     def of(cls, trees: Iterable[dom.Tree], known: dict[str, int], grow: bool = False) -> Forest:
-        parent, kind, where, what, depth, page = [], [], [], [], [], []
-        for k, t in enumerate(trees):
+        parent, kind, where, what, depth, alike = [], [], [], [], [], []
+        for t in trees:
             base = len(parent)
+            siblings = Counter(zip(t.parent, t.tag, strict=True))
+            alike += [siblings[x] for x in zip(t.parent, t.tag, strict=True)]
             for i, names in enumerate(evidence(t)):
                 p = t.parent[i]
                 parent.append(base + p if p >= 0 else -1)
                 depth.append(depth[base + p] + 1 if p >= 0 else 0)
                 kind.append(_KINDS.index(_KIND.get(t.tag[i], "other")))
-                page.append(k)
                 for name in names:
                     at = known.setdefault(name, len(known)) if grow else known.get(name)
                     if at is not None:
@@ -112,7 +121,7 @@ class Forest:
         d = np.array(depth, np.int64)
         order = np.argsort(d, kind="stable")
         levels = np.split(order, np.flatnonzero(np.diff(d[order])) + 1) if len(d) else []
-        return cls(np.array(parent, np.int64), np.array(kind, np.int64), np.array(where, np.int64), np.array(what, np.int64), levels, np.array(page, np.int64))
+        return cls(np.array(parent, np.int64), np.array(kind, np.int64), np.array(where, np.int64), np.array(what, np.int64), levels, np.minimum(1, _ALIKE / np.array(alike, np.float64)))
 
 
 @dataclass
@@ -136,7 +145,7 @@ def sum_product(f: Forest, unary: np.ndarray, pair: np.ndarray) -> tuple[np.ndar
     up = score.copy()  # own score and all messages from below
     message = np.zeros((n, 2))
     for level in reversed(f.levels[1:]):
-        message[level] = _log_sum(edge[level] + up[level][:, None, :], 2)
+        message[level] = f.weight[level, None] * _log_sum(edge[level] + up[level][:, None, :], 2)
         np.add.at(up, f.parent[level], message[level])
     belief = up.copy()
     for level in f.levels[1:]:
@@ -175,6 +184,7 @@ def fit(pages: list[str], *, steps: int = 120, rate: float = 0.15, ridge: float
     trees = [dom.read(p) for p in pages]
     known: dict[str, int] = {}
     f = Forest.of(trees, known, grow=True)
+    f.weight[:] = 1  # the likelihood is of the exact model
     y = np.concatenate([labels_of(t) for t in trees])
     inner = np.flatnonzero(f.parent >= 0)
     unary, pair = np.zeros(len(known)), np.zeros((len(_KINDS), 2, 2))
@@ -196,6 +206,12 @@ def fit(pages: list[str], *, steps: int = 120, rate: float = 0.15, ridge: float
     return Model(known, unary, pair)
 
 
+@cache
+def made_up_model(pages: int) -> Model:
+    """The model of that many made-up pages, fitted once a process; it's always the same."""
+    return fit(labelled_pages.pages(pages))
+
+
 def main_texts(trees: list[dom.Tree], model: Model, least: float = 0.5) -> list[str]:
     """The blocks of each page that more likely than not are main text, one to a line."""
     f = Forest.of(trees, model.known)
@@ -208,14 +224,14 @@ def main_texts(trees: list[dom.Tree], model: Model, least: float = 0.5) -> list[
     return out
 
 
-def extract(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None, labelled: list[str] | None = None, training_pages: int = 300) -> tuple[DataFrame, str]:
+def extract(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None, labelled: list[str] | None = None, training_pages: int = 200) -> tuple[DataFrame, str]:
     """The columns `keep` of pages with a struct column of `text`, the main text, and `n_chars`.
 
     labelled: pages with data-content marks to learn from; else training_pages made-up ones, always the same.
     A null or empty page, and a page without main text, gives an empty text.  White space inside a block becomes one
     space; blocks go in page order, a line each.  Repeated rows are read each; other columns stay as they are.
     """
-    model = fit(labelled if labelled is not None else labelled_pages.pages(training_pages))
+    model = fit(labelled) if labelled is not None else made_up_model(training_pages)
     sent = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(html):

@@ -48,7 +48,7 @@ class _Writer:
     def links(self, lo: int = 3, hi: int = 9) -> str:
         one = lambda: f'<a href="/{self.word()}">{self.words(1, 4)}</a>'
         kind = self.r.randint(0, 2)
-        n = self.r.randint(lo, hi)
+        n = self.r.randint(lo, hi) * (self.r.randint(4, 12) if self.r.random() < 0.03 else 1)
         if kind == 0:
             return "<ul>" + "".join(f"<li>{one()}</li>" for _ in range(n)) + "</ul>"
         return (" | " if kind == 1 else "\n").join(one() for _ in range(n))
@@ -86,7 +86,7 @@ class _Writer:
     def comments(self) -> str:
         one = self.pick("li", "div", "article")
         each = lambda: f"<{one}{self.attribute('comment', 'reply', 'comment-body')}><{self.pick('b', 'cite', 'h4')}>{self.words(1, 2)}</b></cite></h4><p>{self.sentences(1, 6)}</p>{'<p>' + self.sentences(1, 4) + '</p>' if self.r.random() < 0.3 else ''}</{one}>"
-        inner = f"<h3>{self.words(1, 3)}</h3>" * self.r.randint(0, 1) + "".join(each() for _ in range(self.r.randint(1, 6)))
+        inner = f"<h3>{self.words(1, 3)}</h3>" * self.r.randint(0, 1) + "".join(each() for _ in range(self.r.randint(20, 90) if self.r.random() < 0.08 else self.r.randint(1, 6)))
         if one == "li":
             inner = f"<ol>{inner}</ol>"
         return self.pick(f"<section{self.attribute('comments', 'responses', 'discussion', 'replies', 'comment-list')}>{inner}</section>", f"<div{self.attribute('comments', 'comment-section', 'responses', 'discussion', 'disqus', 'replies')}>{inner}</div>")
@@ -95,11 +95,25 @@ class _Writer:
         return f"<{(t := self.pick('div', 'ul', 'p'))}{self.attribute('share', 'social', 'sharing', 'follow', 'tags', 'share-buttons')}>{self.links(2, 5)}</{t}>"
 
     # an article
+    def many(self) -> list[str]:
+        """Scores of short paragraphs or lines, as dialogues, verse, lists of names and tables have."""
+        tag = self.pick("p", "p", "p", "li", "div", "td")
+        said = self.words(1, 3).capitalize() + self.pick(".", "", "!")
+        one = self.pick(lambda: said, lambda: self.words(1, 4).capitalize() + self.pick(".", "", ","), lambda: self.sentences(1, 1))
+        each = [f"<{tag}>{one()}</{tag}>" for _ in range(self.r.randint(40, 220))]
+        if tag == "li":
+            return ["<ul>" + "".join(each) + "</ul>"]
+        if tag == "td":
+            return ["<table>" + "".join(f"<tr>{x}</tr>" for x in each) + "</table>"]
+        return each
+
     def content(self) -> str:
         out = []
         if self.r.random() < 0.85:
             title = f"<h1>{self.words(2, 12)}</h1>"
             out.append(f"<header>{title}</header>" if self.r.random() < 0.12 else title)
+        if self.r.random() < 0.1:
+            out += self.many()
         for _ in range(self.r.choice([1, 2, 3, 5, 8, 12, 20])):
             k = self.r.random()
             if k < 0.72:
