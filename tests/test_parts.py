@@ -136,7 +136,7 @@ def test_audits_keep_the_latest_outcome():
 
 
 def test_settings():
-    s = snapshot.Settings.read({"PWNED_API": "http://x", "PORT": "abc", "SAMPLE_LIMIT": "5"})
+    s = snapshot.Settings.read({"TRACEWELL_RANGE_SERVICE": "http://x", "TRACEWELL_PORT": "abc", "TRACEWELL_SAMPLE_LIMIT": "5"})
     assert (s.port, s.sample_limit, s.audit_interval_ms) == (8080, 5, 900_000)
-    with pytest.raises(ValueError, match="PWNED_API"):
+    with pytest.raises(ValueError, match="RANGE_SERVICE"):
         snapshot.Settings.read({})

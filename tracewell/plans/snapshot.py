@@ -7,11 +7,13 @@ import os
 import threading
 import time
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from typing import Any
 
 log = logging.getLogger("tracewell")
 
+PREFIX = "TRACEWELL_"
+
 
 class Snapshot:
     """A value that is loaded at most once at a time and is good for ttl_ms; callers that come meanwhile wait for it."""
@@ -77,17 +79,22 @@ def _number(text: str | None, default: int) -> int:
 
 @dataclass(frozen=True)
 class Settings:
-    range_api: str
-    corpus_root: str = "./passwords"
+    """Settings of a service, each read from the variable of its upper-case name behind PREFIX."""
+
+    range_service: str
+    corpus_root: str = "./corpus"
     port: int = 8080
     audit_interval_ms: int = 900_000
     sample_limit: int = 3
 
     @classmethod
     def read(cls, env: Mapping[str, str] | None = None) -> Settings:
-        """From environment variables; a missing address of the range service is an error that names it."""
+        """From environment variables; a missing address of the range service is an error that names it.
+
+        A number that is missing, zero or no number has its default.
+        """
         env = os.environ if env is None else env
-        missing = [k for k in ("PWNED_API",) if not env.get(k)]
-        if missing:
-            raise ValueError(f"missing settings: {', '.join(missing)}")
-        return cls(env["PWNED_API"], env.get("PASSWORDS_DIR") or "./passwords", _number(env.get("PORT"), 8080), _number(env.get("PASSWORD_AUDIT_INTERVAL_MS"), 900_000), _number(env.get("SAMPLE_LIMIT"), 3))
+        given = {f.name: env.get(PREFIX + f.name.upper()) for f in fields(cls)}
+        if not given["range_service"]:
+            raise ValueError(f"missing settings: {PREFIX}RANGE_SERVICE")
+        return cls(**{f.name: _number(given[f.name], f.default) if isinstance(f.default, int) else given[f.name] or f.default for f in fields(cls)})
