@@ -4,8 +4,8 @@ The metadata record holds, as JSON, the source's own WARC and HTTP headers in or
 and as they are, and the identifier of the conversion.  The conversion record holds the page's text.  Both bear the
 source's identifier in WARC-Refers-To, its target and its date.
 
-Records are made where the response is read.  They are UTF-8 text, so Spark's own text writer, with the end of a
-record as its separator, makes WARC files in any store that Spark can write.
+Records are made where the response is read.  Files are made by Spark's own text writer in any store that Spark can
+write; each record of them is a gzip member of its own, so a reader can seek to any and a damaged one costs no other.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ from tracewell.llm import dom
 from tracewell.llm.common import prepare, quoted
 
 VERSION = "WARC/1.1"
-_END = "\r\n\r\n"
+_END = b"\r\n\r\n"
+_GZIP = b"\x1f\x8b\x08"
+_CHUNK = 1 << 16
 _LIST = "refers_to string, record_type string, record_id string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, source_block_digest string, source_payload_digest string, digests_hold boolean, http_status int, n_chars long, record string"
 
 
@@ -84,25 +86,46 @@ def parse(raw: bytes) -> Iterator[Record]:
         at = raw.find(b"WARC/", begin + size)
 
 
-def _unpacked(raw: bytes) -> Iterator[bytes]:
-    """The members of a gzip file one by one, or the file itself; a member cut short gives what there is of it."""
-    if raw[:2] != b"\x1f\x8b":
-        yield raw
-        return
-    while raw[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
+def _member(raw: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """What the gzip member at this place holds, where it ends, and what is wrong with it."""
+    d, parts = zlib.decompressobj(31), []
+    while at < len(raw) and not d.eof:
+        chunk = raw[at : at + _CHUNK]
         try:
-            yield d.decompress(raw) + d.flush()
-        except zlib.error:
-            return
-        raw = d.unused_data
+            parts.append(d.decompress(chunk))
+        except zlib.error as e:
+            return b"", at, str(e)
+        at += len(chunk) - len(d.unused_data)
+    return b"".join(parts), at, None if d.eof else "the member is cut short"
+
 
+def unpacked(raw: bytes) -> Iterator[tuple[int, bytes, str | None]]:
+    """(place, content, error) of a gzip file's members one by one, or of the file itself if it isn't one.
 
-def response(page_id, url: str | None, html: str | None, date: str) -> Record:
-    """A response record for a fetched page.  The same page gives the same identifier."""
+    A damaged member has an error and no content, and reading goes on at the next that can be read; one cut short by
+    the file's end gives what there is of it.  What lies between members and is none is passed over.  Every byte is
+    looked at once, but for those of a damaged member.
+    """
+    if raw[:2] != _GZIP[:2]:
+        yield 0, raw, None
+        return
+    view, at, damaged = memoryview(raw), 0, False
+    while (at := raw.find(_GZIP, at)) >= 0:
+        content, end, error = _member(view, at)
+        if error and not content:
+            if not damaged:  # the beginnings that a damaged member seems to hold are no members
+                yield at, b"", error
+            damaged, at = True, at + 1
+            continue
+        yield at, content, error
+        damaged, at = False, end
+
+
+def response(page_id, url: str | None, html: str | None, date: str, row: int = 0) -> Record:
+    """A response record for a fetched page.  The same page in the same row gives the same identifier."""
     payload = (html or "").encode()
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
-    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}\n{url or ''}\n{digest_of(payload)}")
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"{page_id}\n{url or ''}\n{digest_of(payload)}\n{row}")
     return Record(
         [
             ("WARC-Type", "response"),
@@ -213,48 +236,62 @@ def derive(source: Record) -> list[tuple[Record, dict]]:
 def responses(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """(page_id, record): a response record, in bytes, for each fetched page.
 
-    A null address is an empty target, a null page an empty payload; repeated rows give equal records.
+    A null address is an empty target, a null page an empty payload.  Repeated rows give records that differ in their
+    identifiers alone, as those must be unique: a row's place among the rows read is a part of what they are made from.
+    An empty table gives none; other columns are not looked at.
     """
     prepare(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, urls, htmls = (b.column(i).to_pylist() for i in range(3))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([serialise(response(*x, date)) for x in zip(ids, urls, htmls, strict=True)], pa.binary())], names=["page_id", "record"])
+            rows = zip(*(b.column(i).to_pylist() for i in range(4)), strict=True)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([serialise(response(i, u, h, date, k)) for i, u, h, k in rows], pa.binary())], names=["page_id", "record"])
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(F.col(quoted(id_col)).alias("page_id"), quoted(url_col), quoted(html_col)).mapInArrow(run, f"page_id {kind}, record binary")
+    return pages.select(F.col(quoted(id_col)).alias("page_id"), F.col(quoted(url_col)).alias("url"), F.col(quoted(html_col)).alias("html"), F.monotonically_increasing_id().alias("row")).mapInArrow(run, f"page_id {kind}, record binary")
 
 
 def read(spark: SparkSession, path: str, *, batch_bytes: int = 8 << 20) -> DataFrame:
-    """(path, record): every record of WARC files, plain or gzipped a record at a time; a file is one task's work."""
+    """(path, record, offset, error): every record of WARC files, plain or gzipped a record at a time.
+
+    offset is where the record's gzip member begins, 0 in a plain file.  A damaged member is a row without a record,
+    and one cut short by the file's end a row with what there is; error says so.  A file is one task's work, of 2 GB at
+    most, which is Spark's bound for a binary file.  A folder without files, and files without records, give no rows.
+    """
     prepare(spark)
+    names, kinds = ["path", "record", "offset", "error"], [pa.string(), pa.binary(), pa.int64(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 held, size = [], 0
-                for member in _unpacked(raw.as_py()):
-                    for r in parse(member):
-                        held.append(serialise(r))
-                        size += len(held[-1])
+                for at, member, error in unpacked(raw.as_py()):
+                    for r in [None] if error and not member else parse(member):
+                        held.append((name, r and serialise(r), at, error))
+                        size += len(held[-1][1] or b"")
                         if size >= batch_bytes:
-                            yield pa.RecordBatch.from_arrays([pa.array([name] * len(held)), pa.array(held, pa.binary())], names=["path", "record"])
+                            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
                             held, size = [], 0
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(held), pa.string()), pa.array(held, pa.binary())], names=["path", "record"])
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, record binary")
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "path string, record binary, offset long, error string")
 
 
 def derivatives(records: DataFrame, *, record_col: str = "record", keep: list[str] | None = None) -> DataFrame:
     """A row for each derived record, with the columns `keep` of its source; `record` is its text.
 
-    Records that aren't responses, nulls and what isn't a record give none.  A source's digests are handed on as given;
-    digests_hold tells whether they are right.
+    Records that aren't responses, nulls and what isn't a record give none; so does an empty table.  A source's digests
+    are handed on as given; digests_hold tells whether they are right.  A kept column that is named like one of the
+    derived record's comes as source_ and its name, with more such before it while that is taken too.
     """
     prepare(records.sparkSession)
-    keep = list(keep or ())
-    names = [x.split()[0] for x in _LIST.split(", ")]
+    asked, names = list(keep or ()), [x.split()[0] for x in _LIST.split(", ")]
+    keep = []
+    for c in asked:
+        while c in names or c in keep or c != asked[len(keep)] and c in asked:
+            c = f"source_{c}"
+        keep.append(c)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -270,13 +307,39 @@ def derivatives(records: DataFrame, *, record_col: str = "record", keep: list[st
             cols += [pa.array([r[n] for r in rows], {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string()}[x.split()[1]]) for n, x in zip(names, _LIST.split(", "), strict=True)]
             yield pa.RecordBatch.from_arrays(cols, names=[*keep, *names])
 
-    kept = "".join(f"{quoted(c)} {records.schema[c].dataType.simpleString()}, " for c in keep)
-    return records.select(*(quoted(c) for c in [*keep, record_col])).mapInArrow(run, kept + _LIST)
+    kept = "".join(f"{quoted(c)} {records.schema[a].dataType.simpleString()}, " for c, a in zip(keep, asked, strict=True))
+    return records.select(*(F.col(quoted(a)).alias(f"k{i}") for i, a in enumerate(asked)), F.col(quoted(record_col)).alias("x")).mapInArrow(run, kept + _LIST)
 
 
-def write(derived: DataFrame, path: str, compression: str = "gzip") -> None:
-    """WARC files, one for each partition, by Spark's text writer."""
-    derived.select("record").write.option("lineSep", _END).option("compression", compression).text(path)
+def _members(records: list[str]) -> list[bytes]:
+    """Each record as a gzip member, less its last byte, which is 0: the highest of the size.
+
+    After a record of 16 MB or more, whose size needs that byte, comes a member that holds nothing.
+    """
+    out = []
+    for text in records:
+        raw = text.encode() + _END
+        made = gzip.compress(raw, 6, mtime=0)
+        out.append((made if len(raw) < 1 << 24 else made + gzip.compress(b"", mtime=0))[:-1])
+    return out
+
+
+def write(derived: DataFrame, path: str) -> None:
+    """WARC files, one for each partition, in a new folder; an empty table makes a folder without records.
+
+    A record is a gzip member.  Spark's text writer puts a byte of its choice after each row, so rows are members
+    without their last byte, and that byte is the separator.  Files are then given names that end in .warc.gz.
+    """
+    spark = derived.sparkSession
+    prepare(spark)
+    made = derived.select("record").mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array(_members(b.column(0).to_pylist()), pa.binary())], names=["m"]) for b in it), "m binary")
+    made.select(F.col("m").cast("string")).write.option("lineSep", "\0").option("compression", "none").text(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(folder):
+        name = f.getPath().getName()
+        if name.startswith("part-") and not fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + ".warc.gz")):
+            raise OSError(f"cannot rename {f.getPath()}")
 
 
 def digest(pages: DataFrame) -> DataFrame:
