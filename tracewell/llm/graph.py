@@ -10,14 +10,21 @@ from tracewell.llm.common import durable
 #: Edges that are worth a task of their own; fewer tasks than that write fewer, larger files.
 _TASK_EDGES = 20_000
 _FEWEST_TASKS = 8
+#: A node of more edges than this, and than one in _HUBS of all, is a hub.
+_HUB_EDGES = 200
+_HUBS = 2000
 
 
-def _stars(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
+def _stars(edges: DataFrame, large: bool, tasks: int, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if not large:
         both = both.filter("v < u")
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+    # nodes of many edges: there are at most 2 n / most of them, so they go to the edges; the others' edges meet them
+    most = max(_HUB_EDGES, n // _HUBS)
+    hubs = least.filter(F.col("n") > most).select("u", F.col("m").alias("hub"))
+    told = both.join(F.broadcast(hubs), "u", "left")
+    met = told.filter("hub is not null").withColumnRenamed("hub", "m").unionByName(told.filter("hub is null").drop("hub").join(least.select("u", "m"), "u"))
     if large:
         found = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -28,16 +35,19 @@ def _stars(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of an edge table (u, v) of longs; a component's name is its least node.
 
-    Each round's edges are checkpointed, so lineage stays short and a lost executor costs one round at most.
+    Each round's edges are checkpointed, so lineage stays short and a lost executor costs one round at most.  No node's
+    edges meet in one task: what a hub's edges must know, the hub's least neighbour, is broadcast, for some 4000 hubs
+    at most whatever the number of edges.
     """
     seen = None
     edges = durable(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    tasks = max(_FEWEST_TASKS, -(-edges.count() // _TASK_EDGES))
+    n = edges.count()
+    tasks = max(_FEWEST_TASKS, -(-n // _TASK_EDGES))
     while True:
-        edges = durable(_stars(_stars(edges, True, tasks), False, tasks))
+        edges = durable(_stars(_stars(edges, True, tasks, n), False, tasks, n))
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break
-        seen = now
+        seen, n = now, now[0]
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()

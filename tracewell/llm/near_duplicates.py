@@ -5,16 +5,25 @@
 2. Equal sets become one class, so copies never meet each other.
 3. Classes that share a band's bucket are candidates.  In a bucket of up to `small` classes each pair whose packed
    signatures, corrected for chance collisions of the low bits, leave the asked similarity within six standard errors
-   goes on to be confirmed.  Larger buckets, joined where they share classes, are cut into blocks of bounded size; each
-   pair of blocks is one task, which compares sets and emits a spanning forest of the links it finds, never all pairs.
-4. Links, all confirmed by exact intersection of the full sets, give connected components.
-
-With 24 bands of 4, a pair at similarity 0.85 is missed with probability 2e-8.  Hot buckets are split by blocks; hot
-classes are aggregated before they are shuffled; nothing about documents reaches the driver.
+   goes on to be confirmed.
+4. Larger buckets are linked in two steps.  First each of their classes is paired with one other, in `chosen` of its
+   buckets: with a hub of the bucket, a class whose signature is nearest to what most have in each place, or else with
+   the nearest class before it, in order of set sizes, that looks alike.  What those pairs link is most of a group of
+   copies.  Then only buckets that still hold several components are compared whole, each by
+   itself, in blocks of bounded size: signatures alone tell which classes have a partner in another component at all,
+   and sets are only brought together for those, in tasks that emit a spanning forest of the links they find.
+5. Links, all confirmed by exact intersection of the full sets, give connected components.
+
+With 24 bands of 4, a pair at similarity 0.85 is missed with probability 2e-8.  Buckets that merely touch are never
+compared; hot buckets are split by blocks; hot classes are aggregated before they are shuffled; nothing about documents
+reaches the driver but the sizes of tables.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,11 +34,12 @@ from pyspark.sql import functions as F
 from tracewell.llm import textops as X
 from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, release, strings
 from tracewell.llm.graph import components
+from tracewell.operators import sketch
 
 _NIBBLE = np.uint64(0x1111111111111111)
 _SEED = np.uint64(0xD1B54A32D192ED03)
-#: Candidate documents are found again in the texts behind a bitmap of this many bits, whatever their number.
-_BITMAP = 1 << 20
+#: Up to this many candidate documents are found again in the texts behind a Bloom filter, of some 8 MB then.
+_FILTERED = 1 << 23
 #: The most names of rows that are sent to every executor.
 _SENT = 1 << 20
 
@@ -46,13 +56,26 @@ class Settings:
     small: int = 16
     block_sets: int = 1024
     block_shingles: int = 500_000
+    chosen: int = 8
+    hubs: int = 4
+    reach: int = 32
+    chunk: int = 1 << 15
     bits: int = 4  # four fill a nibble, which is what match_counts counts
 
+    def alike(self, n, m) -> np.ndarray:
+        """Whether sets of these sizes can be linked at all."""
+        return 100 * np.minimum(n, m) >= self.percent * np.maximum(n, m)
+
+    @property
+    def error(self) -> float:
+        """The standard error of an estimate at the similarity asked for."""
+        c = 2.0**-self.bits
+        p = c + (1 - c) * self.percent / 100
+        return (p * (1 - p) / self.minima) ** 0.5 / (1 - c)
+
     @property
     def least_estimate(self) -> float:
-        c, j = 2.0**-self.bits, self.percent / 100
-        p = c + (1 - c) * j
-        return j - 6 * (p * (1 - p) / self.minima) ** 0.5 / (1 - c)
+        return self.percent / 100 - 6 * self.error
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,18 +184,110 @@ def _small_pairs(batch: pa.RecordBatch, s: Settings) -> pa.RecordBatch:
         left.append((at[:, None] + i).reshape(-1))
         right.append((at[:, None] + j).reshape(-1))
     i, j = np.concatenate(left), np.concatenate(right)
-    ok = 100 * np.minimum(n[i], n[j]) >= s.percent * np.maximum(n[i], n[j])
+    ok = s.alike(n[i], n[j])
     i, j = i[ok], j[ok]
     ok = estimate(match_counts(sig[i], sig[j]), s) >= s.least_estimate
     i, j = i[ok], j[ok]
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[i], ids[j])), pa.array(np.maximum(ids[i], ids[j]))], names=["a", "b"])
 
 
-def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], s: Settings) -> list[tuple[int, int]]:
+def _signature_rows(column: pa.Array) -> np.ndarray:
+    raw, offs = X.byte_view(column)
+    return raw[offs[0] : offs[-1]].view(np.uint64).reshape(len(column), -1)
+
+
+def hub_of(n: np.ndarray, sig: np.ndarray, s: Settings) -> np.ndarray:
+    """For each row the hub that it is most like, -1 for none; there are `hubs` at most, one after another.
+
+    Estimates may be three standard errors too low, as what is paired is confirmed; a hub is sought for the rows that
+    are surely not near one yet.
+    """
+    out, best = np.full(len(n), -1), np.full(len(n), s.percent / 100 - s.error * 3)
+    left = np.arange(len(n))
+    for _ in range(s.hubs):
+        if len(left) < 2:
+            break
+        lanes = ((sig[left, :, None] >> (np.arange(16, dtype=np.uint64) * np.uint64(4))) & np.uint64(15)).reshape(len(left), -1).astype(np.int64)
+        most = np.bincount((lanes + 16 * np.arange(lanes.shape[1])).reshape(-1), minlength=16 * lanes.shape[1]).reshape(-1, 16).argmax(1)
+        hub = left[(lanes == most).sum(1).argmax()]
+        like = np.where(s.alike(n, n[hub]), estimate(match_counts(sig, sig[hub]), s), 0)
+        like[hub] = 0
+        at = np.flatnonzero(like >= best)
+        out[at], best[at] = hub, like[at]
+        left = left[(left != hub) & (best[left] < s.percent / 100)]
+    return out
+
+
+def nearest_alike(run: np.ndarray, n: np.ndarray, sig: np.ndarray, s: Settings) -> np.ndarray:
+    """For each row the nearest of the `reach` rows before it, of the same run, that seems to be linked; -1 for none."""
+    out = np.full(len(run), -1)
+    for d in range(1, min(s.reach, len(run) - 1) + 1):
+        at = np.flatnonzero((out[d:] < 0) & (run[d:] == run[:-d]) & s.alike(n[d:], n[:-d])) + d
+        at = at[estimate(match_counts(sig[at], sig[at - d]), s) >= s.percent / 100]
+        out[at] = at - d
+    return out
+
+
+def _partners(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.RecordBatch]:
+    """A pair for each row (bucket, salt, n, rep, sig) that has a partner; rows of a run, in that order, come together."""
+    held: list[pa.RecordBatch] = []
+
+    def pairs(rows: pa.RecordBatch, cuts: np.ndarray) -> pa.RecordBatch:
+        n, rep, sig = np.asarray(rows.column(2)), np.asarray(rows.column(3)), _signature_rows(rows.column(4))
+        to = np.full(len(n), -1)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            hub = hub_of(n[a:b], sig[a:b], s)
+            to[a:b] = np.where(hub < 0, -1, hub + a)
+        run = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        rest = np.flatnonzero(to < 0)
+        near = nearest_alike(run[rest], n[rest], sig[rest], s)
+        to[rest] = np.where(near < 0, -1, rest[near])
+        at = np.flatnonzero(to >= 0)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[at], rep[to[at]])), pa.array(np.maximum(rep[at], rep[to[at]]))], names=["a", "b"])
+
+    for b in itertools.chain(batches, [None]):
+        if b is not None and b.num_rows:
+            held.append(b)
+        if not held:
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        bucket, salt = np.asarray(rows.column(0)), np.asarray(rows.column(1))
+        cuts = np.concatenate([[0], np.flatnonzero((bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])) + 1])
+        if b is None:
+            cuts = np.append(cuts, rows.num_rows)
+        if len(cuts) > 1:
+            yield pairs(rows.slice(0, int(cuts[-1])), cuts)
+        held = [rows.slice(int(cuts[-1]))] if cuts[-1] < rows.num_rows else []
+
+
+def live_rows(bucket: np.ndarray, level: np.ndarray, base: int, part: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, bands: np.ndarray, s: Settings) -> np.ndarray:
+    """Which classes of a pair of blocks have one in the other block, of another component, that may be linked.
+
+    A pair is looked at where its sizes' lower level is `base`, and in the first bucket that it shares.
+    """
+    out = np.zeros(len(n), bool)
+    two = part.min() != part.max()
+    for i in range(len(n) - 1):
+        j = np.arange(i + 1, len(n))
+        ok = (label[j] != label[i]) & (np.minimum(level[j], level[i]) == base) & s.alike(n[j], n[i])
+        if two:
+            ok &= part[j] != part[i]
+        j = j[ok]
+        j = j[estimate(match_counts(sig[j], sig[i]), s) >= s.least_estimate]
+        if len(j):
+            shared = bands[j] == bands[i]
+            j = j[bands[i][shared.argmax(1)] == bucket[i]]
+            out[j] = True
+            out[i] |= len(j) > 0
+    return out
+
+
+def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], s: Settings, component: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links between the two parts of a pair of blocks (or within one block).
 
     A set whose shingles mostly occur in no other set here can't be linked; lengths and signatures rule out more.
-    The rest are compared exactly, those with the most common shingles first, but for pairs joined already.
+    The rest are compared exactly, those with the most common shingles first, but for pairs joined already, or of the
+    same component.
     """
     n = np.array([len(x) for x in sets])
     flat = np.concatenate(sets)
@@ -183,15 +298,8 @@ def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[n
     live = live[np.argsort(-(shared[live] / n[live]), kind="stable")]
     where = np.concatenate([[0], np.cumsum(n)])
     two = part.min() != part.max()
-    root = np.arange(len(sets))
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    label = np.arange(len(sets))  # find() of each, kept up to date
+    # rows of one component begin joined; label[i] stands for all rows joined with i
+    label = np.arange(len(sets)) if component is None else np.unique(component, return_inverse=True)[1]
     mark = np.zeros(len(counts), bool)
     out = []
     for k, i in enumerate(live[:-1].tolist()):
@@ -199,7 +307,7 @@ def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[n
         j = j[label[j] != label[i]]
         if two:
             j = j[part[j] != part[i]]
-        j = j[100 * np.minimum(n[j], n[i]) >= s.percent * np.maximum(n[j], n[i])]
+        j = j[s.alike(n[j], n[i])]
         if len(j):
             j = j[estimate(match_counts(sig[j], sig[i]), s) >= s.least_estimate]
         if not len(j):
@@ -211,14 +319,65 @@ def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[n
         both = np.add.reduceat(mark[inverse[idx]].astype(np.int64), np.cumsum(m) - m)
         mark[mine] = False
         for x in j[100 * both >= s.percent * (n[i] + m - both)].tolist():
-            a, b = find(i), find(x)
-            if a != b:
-                root[b] = a
-                label[label == b] = a
+            if label[x] != label[i]:
+                label[label == label[x]] = label[i]
                 out.append((int(ids[i]), int(ids[x])))
     return out
 
 
+def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+    """(rep, set, n, sig) of the wanted ids, from their texts; most other texts are left out before anything is shuffled.
+
+    An id that several texts share has several sets: links are told by id, so any of them counts.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col(quoted(id_col)).cast("long").alias("rep"), F.col(quoted(text_col)).alias("text"))
+    n = wanted.count()
+    if not n:
+        texts = texts.filter(F.lit(False))
+    elif n <= _FILTERED:
+        bloom = sketch.build(wanted.select(F.col("rep").cast("string").alias("line")), n=max(n, 1000), fpp=0.02)
+        texts = texts.filter(sketch.may_contain(spark, bloom, F.col("rep").cast("string")))
+    texts = texts.join(wanted, "rep", "left_semi")
+
+    def to_set(column):
+        sh, begin = shingle_sets(column, s.shingle)
+        return [pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(sh.view(np.int64)))]
+
+    sets, r = annotate(texts, ["text"], to_set, "set array<long>", ["rep"])
+    return durable(sets.select("rep", f"{r}.set").filter(F.size("set") > 0).join(signatures, "rep"))
+
+
+def _still_apart(hot: DataFrame, labels: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
+    """(bucket, base, i, j, part, rep, label): classes of hot buckets that may be linked with one of another component.
+
+    hot: (bucket, rep).  No sets are looked at.  A class is copied for each part of its bucket, and again for the
+    length level below its own, with some 300 bytes; what it has no partner for ends here.
+    """
+    here = hot.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
+    apart = here.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+    level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / s.percent)) if s.percent < 100 else F.col("n")
+    rows = durable(rekeyed(here, "bucket").join(apart, "bucket", "left_semi").join(reps.select("rep", "n", "sig", "bands"), "rep").withColumn("level", level.cast("long")))
+    based = rows.withColumn("base", F.explode(F.array("level", F.col("level") - 1)))
+    cut = based.groupBy("bucket", "base").agg(F.ceil(F.count("*") / s.block_sets).cast("long").alias("parts"), F.min("label").alias("x"), F.max("label").alias("y"), F.min("level").alias("l"))
+    cut = cut.filter("x <> y and l = base").select("bucket", "base", "parts")
+    blocks = (
+        based.join(rekeyed(cut, "bucket"), ["bucket", "base"]).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
+        .select("bucket", "base", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "label", "level", "n", "sig", "bands")
+    )
+
+    def live(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        col = lambda name: t.column(name).to_numpy()
+        bands = t.column("bands").combine_chunks()
+        bands = np.asarray(bands.values)[bands.offsets[0].as_py() :].reshape(t.num_rows, -1)
+        on = live_rows(col("bucket"), col("level"), t.column("base")[0].as_py(), col("part"), col("label"), col("n"), _signature_rows(t.column("sig").combine_chunks()), bands, s)
+        return t.select(["bucket", "base", "i", "j", "part", "rep", "label"]).filter(pa.array(on))
+
+    return blocks.groupBy("bucket", "base", "i", "j").applyInArrow(live, "bucket long, base long, i long, j long, part long, rep long, label long")
+
+
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
@@ -245,56 +404,36 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("bucket").agg(F.collect_list(F.struct("rep", "n", "sig")).alias("members"))
         .select("members").mapInArrow(lambda it: (_small_pairs(b, s) for b in it if b.num_rows), "a long, b long").filter("a <> b").distinct()
     )
-    pairs = durable(pairs)
-    hot = components(met.filter(F.col("size") > s.small).select(F.col("rep").alias("u"), F.col("least").alias("v")))
-
-    # the sets of candidates only
-    wanted = durable(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).unionByName(hot.select(F.col("node").alias("rep"))).distinct())
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(_BITMAP)).cast("int")
-    bitmap = np.zeros(_BITMAP, bool)
-    bitmap[wanted.select(bit(F.col("rep")).alias("bit")).distinct().toPandas()["bit"].to_numpy(np.int64)] = True
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
-    place, doc = fresh("bit"), F.col(quoted(id_col)).cast("long")
-
-    def likely(batches):
-        known = np.unpackbits(sent.value).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(known[np.asarray(batch.column(2))]))
-
-    texts = docs.select(doc.alias("rep"), F.col(quoted(text_col)).alias("text"), F.coalesce(bit(doc), F.lit(0)).alias(place)).mapInArrow(likely, f"rep long, text string, {place} int")
-    texts = texts.join(wanted, "rep", "left_semi")
-
-    def to_set(column):
-        sh, begin = shingle_sets(column, s.shingle)
-        return [pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(sh.view(np.int64)))]
-
-    sets, r = annotate(texts, ["text"], to_set, "set array<long>", ["rep"])
-    sets = durable(sets.select("rep", f"{r}.set").filter(F.size("set") > 0).join(signatures, "rep"))
-    # an id that several texts share has several sets: links are told by id, so any of them counts
-
+    # larger buckets: one partner a class, in some of its buckets, the same ones for classes that share them
+    hot = met.filter(F.col("size") > s.small).select("bucket", "rep", "size")
+    by_hash = F.sort_array(F.collect_list(F.struct(F.xxhash64("bucket").alias("h"), "bucket", "size")))
+    some = hot.groupBy("rep").agg(F.slice(by_hash, 1, s.chosen).alias("x")).select("rep", F.explode("x").alias("x")).select("rep", "x.bucket", "x.size")
+    salted = some.withColumn("salt", F.pmod(F.xxhash64("rep", "bucket"), F.ceil(F.col("size") / s.chunk).cast("long"))).join(signatures, "rep")
+    dealt = salted.select("bucket", "salt", "n", "rep", "sig").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "n", "rep")
+    chained = dealt.mapInArrow(lambda it: _partners(it, s), "a long, b long").filter("a <> b")
+    pairs = durable(pairs.unionByName(chained).distinct())
+
+    wanted = durable(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct())
+    sets = _sets(docs, wanted, signatures, id_col, text_col, s)
     a, b = sets.select(F.col("rep").alias("a"), F.col("set").alias("x")), sets.select(F.col("rep").alias("b"), F.col("set").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     links = pairs.join(a, "a").join(b, "b").filter(100 * common >= s.percent * (F.size("x") + F.size("y") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-
-    # how many blocks each group is cut into, and each class's group: rows of ids, so no set waits for a hot group
-    grouped = hot.withColumnRenamed("node", "rep").join(reps.groupBy("rep").agg(F.max("n").alias("n")), "rep")
-    cut = grouped.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / s.block_sets), F.ceil(F.sum("n") / s.block_shingles), F.lit(1)).cast("long").alias("parts"))
-    placed = grouped.join(rekeyed(cut, "component"), "component").select("rep", "component", "parts")
-    blocks = (
-        sets.join(placed, "rep").withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
-        .select("component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "set", "sig")
-    )
-
-    def forest(t: pa.Table) -> pa.Table:
-        lists = t.column("set").combine_chunks()
-        flat, offs = np.asarray(lists.values).view(np.uint64), np.asarray(lists.offsets)
-        raw, cut = X.byte_view(t.column("sig").combine_chunks())
-        sig = raw[cut[0] : cut[-1]].view(np.uint64).reshape(t.num_rows, -1)
-        found = block_links(t.column("rep").to_numpy(), t.column("part").to_numpy(), sig, [flat[x:y] for x, y in zip(offs[:-1], offs[1:], strict=True)], s)
-        return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())})
-
-    links = links.unionByName(blocks.groupBy("component", "i", "j").applyInArrow(forest, "u long, v long"))
+    links = durable(links)
+
+    # what those links leave apart in the larger buckets
+    if hot.limit(1).count():
+        live = durable(_still_apart(hot.select("bucket", "rep"), components(links).withColumnRenamed("node", "rep"), reps, s))
+        more = live.select("rep").distinct().join(wanted, "rep", "left_anti")
+        if live.limit(1).count():
+            sets = sets.unionByName(_sets(docs, durable(more), signatures, id_col, text_col, s))
+
+            def forest(t: pa.Table) -> pa.Table:
+                lists = t.column("set").combine_chunks()
+                flat, offs = np.asarray(lists.values).view(np.uint64), np.asarray(lists.offsets)
+                found = block_links(t.column("rep").to_numpy(), t.column("part").to_numpy(), _signature_rows(t.column("sig").combine_chunks()), [flat[x:y] for x, y in zip(offs[:-1], offs[1:], strict=True)], s, t.column("label").to_numpy())
+                return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())})
+
+            links = links.unionByName(live.join(sets, "rep").groupBy("bucket", "base", "i", "j").applyInArrow(forest, "u long, v long"))
     found = components(durable(links))
     named = reps.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
