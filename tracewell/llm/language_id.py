@@ -8,21 +8,26 @@ on a part of the sample that the weights haven't seen makes scores probabilities
 
 from __future__ import annotations
 
-import re
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import annotate, held_out, prepare, quoted
+from tracewell.llm import textops as X
+from tracewell.llm.common import annotate, held_out, prepare, quoted, strings
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
-_WHITE = re.compile(r"\s+")
+@cache
+def _kinds() -> np.ndarray:
+    """Of each code point: 1 for white space, 2 for a letter, 0 for any other."""
+    return np.array([1 if chr(c).isspace() else 2 if chr(c).isalpha() else 0 for c in range(0x110000)], np.uint8)
 
 
 @dataclass(frozen=True)
@@ -48,19 +53,49 @@ class Model:
     temperature: float
 
 
-def counts(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets that a text's n-grams fall in, ascending, and how often."""
-    cp = np.frombuffer(_WHITE.sub(" ", text.lower()).encode("utf-32-le", "surrogatepass"), np.uint32)
-    total = np.zeros(1 << s.bucket_bits, np.int64)
-    h = np.zeros(len(cp), np.uint32)
+@dataclass
+class Grams:
+    """The buckets that n-grams of some texts fall in, ascending in each text, and how often; cuts between the texts."""
+
+    at: np.ndarray
+    n: np.ndarray
+    first: np.ndarray
+    lettered: np.ndarray  # whether a text has a letter
+
+
+def grams(texts: pa.Array, s: Settings) -> Grams:
+    low = pc.utf8_lower(strings(texts))
+    raw, offs = X.byte_view(low)
+    cp = np.frombuffer(raw.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32)
+    first = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[offs]
+    kind = _kinds()[cp]
+    lettered = X.per_row(kind == 2, first) > 0
+    white = kind == 1
+    keep = ~white
+    keep[1:] |= ~white[:-1]
+    keep[:1] = True
+    keep[first[:-1][first[:-1] < len(cp)]] = True  # a text begins anew
+    cp = np.where(white, np.uint32(0x20), cp)[keep]
+    first = np.concatenate([[0], np.cumsum(keep)])[first]
+    hashed, h = [], np.zeros(len(cp), np.uint32)
     for n in range(1, s.longest + 1):
-        if len(cp) < n:
-            break
-        h = (h[: len(cp) - n + 1] + cp[n - 1 :]) * np.uint32(0x9E3779B1)
+        h = (h[: max(0, len(cp) - n + 1)] + cp[n - 1 :]) * np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
-        total += np.bincount((h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - s.bucket_bits), minlength=len(total))
-    at = np.flatnonzero(total)
-    return at, total[at]
+        hashed.append(((h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - s.bucket_bits)).astype(np.int32))
+    at, n, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [0]
+    for lo, hi in itertools.pairwise(first.tolist()):
+        total = np.bincount(np.concatenate([x[lo : max(lo, hi - k)] for k, x in enumerate(hashed)]), minlength=1 << s.bucket_bits)
+        found = np.flatnonzero(total != 0)
+        at.append(found)
+        n.append(total[found])
+        sizes.append(len(found))
+    return Grams(np.concatenate(at), np.concatenate(n), np.cumsum(sizes), lettered)
+
+
+def counts(text: str, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that a text's n-grams fall in, ascending, and how often."""
+    g = grams(pa.array([text], pa.string()), s)
+    return g.at, g.n
 
 
 def vector(at: np.ndarray, n: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -130,10 +165,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(1 << s.bucket_bits, np.int64), 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                n += 1
-                if text:
-                    total[counts(text, s)[0]] += 1
+            n += batch.num_rows
+            total += np.bincount(grams(batch.column(0), s).at, minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(total[at], n), pa.int64())], names=["bucket", "n"])
 
@@ -157,8 +190,8 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [counts(t or "", s) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([x for _, x in found], pa.list_(pa.int32()))], names=["l", "h", "at", "n"])
+            g = grams(batch.column(0), s)
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *(pa.ListArray.from_arrays(pa.array(g.first, pa.int32()), pa.array(x, pa.int32())) for x in (g.at, g.n))], names=["l", "h", "at", "n"])
 
     got = sample.mapInArrow(features, "l string, h long, at array<int>, n array<int>").limit(2 * s.sample + 60 * len(languages)).collect()
     got.sort(key=lambda r: (r["h"], r["l"], len(r["at"])))
@@ -171,27 +204,35 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     return Model(languages, idf, weights, bias, calibrate(logits, np.array([y for _, _, y in spare], np.int64)))
 
 
-def predict(text: str | None, m: Model, s: Settings) -> tuple[str, float]:
-    if not text or not m.languages or not _LETTER.search(text):
-        return UNDETERMINED, 0.0
-    at, n = counts(text, s)
-    p = _softmax((vector(at, n, m.idf) @ m.weights[at] + m.bias) / m.temperature)
-    k = int(p.argmax())
-    return m.languages[k], float(p[k])
+def predict(texts: pa.Array, m: Model, s: Settings) -> tuple[list[str], np.ndarray]:
+    """Languages and scores."""
+    if not m.languages:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    g = grams(texts, s)
+    row = X.row_of(g.first)
+    x = (1 + np.log(g.n)) * m.idf[g.at]
+    size = np.sqrt(np.bincount(row, weights=x * x, minlength=len(texts)))
+    x /= np.maximum(size, 1e-300)[row]
+    logits = np.stack([np.bincount(row, weights=x * w[g.at], minlength=len(texts)) for w in np.ascontiguousarray(m.weights.T)], axis=1) + m.bias
+    p = _softmax(logits / m.temperature)
+    best = np.where(g.lettered, p.argmax(1), len(m.languages))
+    names = [*m.languages, UNDETERMINED]
+    return [names[k] for k in best.tolist()], np.where(g.lettered, p.max(1), 0.0)
 
 
 def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, settings: Settings = Settings()) -> tuple[DataFrame, str]:
     """The columns `keep` of docs with a struct column of lang_pred and score, by a model learned from docs.
 
     A null text, one without a letter, and any text where nothing could be learned is `und` at score 0.  Ties go to the
-    language first by name.  Repeated rows are predicted each; other columns stay as they are.
+    language first by name.  Repeated rows are predicted each; other columns stay as they are; an empty table gives an
+    empty one.  A language none of whose rows falls into the sample has no weights but its bias.
     """
     s = settings
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, settings=s))
 
     def run(texts):
-        found = [predict(t, model.value, s) for t in texts.to_pylist()]
-        return [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+        names, scores = predict(texts, model.value, s)
+        return [pa.array(names, pa.string()), scores]
 
     return annotate(docs, [text_col], run, "lang_pred string, score double", list(docs.columns if keep is None else keep))
 

@@ -5,24 +5,29 @@ text, is the least ratio of the two samples' mass above a threshold of a first c
 unlabelled text: among the most trustworthy texts there are no bad ones, and what is left of the ratio is the prior.
 Then the non-negative unbiased risk with logistic loss is minimised, so scores are probabilities.
 
-Evidence is how a text is written, not what about: shares of signs, of capitals and of repeated words, lengths of words
-and lines, each also by its place among those of web text.
+Evidence is how a text is written, not what about: shares of capitals, digits and repeated words, lengths of words and
+lines, each also by its place among those of web text, and the share of every sign of ASCII.  Every text is read once:
+its numbers are kept, and what is learned from all texts, means, places and masses above thresholds, comes from them.
+Only the rows that weights are fitted on are a sample.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import textops as X
-from tracewell.llm.common import annotate, held_out, prepare, quoted, strings
+from tracewell.llm.common import annotate, durable, held_out, quoted, strings
 from tracewell.llm.repetition import measure
 
 _BINS = 10
+_PLACES = np.linspace(0, 1, _BINS)[1:-1]
 
 
 @dataclass(frozen=True)
@@ -46,10 +51,10 @@ def _table(chars: str) -> np.ndarray:
 _UPPER = _table("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _LOWER = _table("abcdefghijklmnopqrstuvwxyz")
 _DIGIT = _table("0123456789")
-_STOPS = _table(".,;:?")
-_SHOUT = _table("!")
-_BAR = _table("|")
-_OTHER = _table("#*$%&<>=+~^_@/\\{}[]")
+_SIGNS = [c for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+_SIGN = _table("".join(map(chr, _SIGNS)))
+#: The first numbers of a text, which also count by their place among those of all texts; shares of signs follow.
+_PLACED = 15
 
 
 def style(texts) -> np.ndarray:
@@ -64,34 +69,31 @@ def style(texts) -> np.ndarray:
     letters = share(_UPPER) + share(_LOWER)
     lines = X.per_row(raw == 0x0A, offs) + 1
     last = raw[np.maximum(ends - 1, 0)] if len(ends) else raw[:0]
-    return np.stack(
-        [
-            np.log1p(n_words),
-            np.log1p(words / lines),
-            np.log1p(lines),
-            word_chars / words,
-            share(_UPPER) / np.maximum(letters, 1),
-            share(_DIGIT) / np.maximum(word_chars, 1),
-            share(_STOPS) / words,
-            share(_SHOUT) / words,
-            share(_BAR) / words,
-            share(_OTHER) / words,
-            X.per_row(size <= 3, first) / words,
-            X.per_row(size >= 12, first) / words,
-            X.per_row(_STOPS[last], first) / words,
-            dup_lines / lines,
-            repeat_words / words,
-            repeat_chars / np.maximum(word_chars, 1),
-            longest / words,
-            X.per_row(raw >= 0xC0, offs) / np.maximum(word_chars, 1),
-        ],
-        axis=1,
-    )
+    at = np.flatnonzero(_SIGN[raw])
+    signs = np.bincount((np.searchsorted(offs, at, side="right") - 1) * 128 + raw[at], minlength=128 * len(texts)).reshape(-1, 128)[:, _SIGNS]
+    placed = [
+        np.log1p(n_words),
+        np.log1p(words / lines),
+        np.log1p(lines),
+        word_chars / words,
+        share(_UPPER) / np.maximum(letters, 1),
+        share(_DIGIT) / np.maximum(word_chars, 1),
+        signs.sum(1) / words,
+        X.per_row(size <= 3, first) / words,
+        X.per_row(size >= 12, first) / words,
+        X.per_row(_SIGN[last], first) / words,
+        dup_lines / lines,
+        repeat_words / words,
+        repeat_chars / np.maximum(word_chars, 1),
+        longest / words,
+        X.per_row(raw >= 0xC0, offs) / np.maximum(word_chars, 1),
+    ]
+    return np.concatenate([np.stack(placed, axis=1), np.sqrt(signs / words[:, None])], axis=1)
 
 
 @dataclass
 class Model:
-    edges: np.ndarray  # features x inner edges of bins
+    edges: np.ndarray  # placed numbers x inner edges of bins
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
@@ -101,7 +103,7 @@ class Model:
 
 def _expand(x: np.ndarray, edges: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
     parts = [np.clip((x - mean) / scale, -4, 4)]
-    for k in range(x.shape[1]):
+    for k in range(len(edges)):
         b = np.searchsorted(edges[k], x[:, k], side="right")
         parts.append((b[:, None] == np.arange(edges.shape[1] + 1)).astype(np.float64))
     return np.concatenate(parts, axis=1)
@@ -141,30 +143,43 @@ def _newton(p: np.ndarray, u: np.ndarray, s: Settings, steps: int = 15) -> np.nd
     return w
 
 
-def class_prior(p: np.ndarray, u: np.ndarray, s: Settings) -> float:
-    """The share of positives in u, from values of a classifier of p against u that wasn't fitted on these rows."""
-    ratios = []
-    for k in range(s.folds):
-        hold_p, hold_u = np.arange(len(p)) % s.folds == k, np.arange(len(u)) % s.folds == k
-        w = _newton(p[~hold_p], u[~hold_u], s)
-        fp, fu = p[hold_p] @ w[:-1], u[hold_u] @ w[:-1]
-        cuts = np.quantile(fp, [0.005, 0.01, 0.02, *np.linspace(0.05, 0.75, 15)])  # a quarter of the positives at least lie above
-        ratios.append(min((fu >= t).mean() / max((fp >= t).mean(), 1e-9) for t in cuts))
+#: A fold's thresholds lie at these places among its positives; a quarter of them at least is above.
+_CUTS = [0.005, 0.01, 0.02, *np.linspace(0.05, 0.75, 15)]
+
+#: Given a classifier and its thresholds for each fold: the share of unlabelled rows of the fold above each.
+Mass = Callable[[list[np.ndarray], list[np.ndarray]], list[np.ndarray]]
+
+
+def class_prior(p: np.ndarray, u: np.ndarray, s: Settings, u_fold: np.ndarray | None = None, mass: Mass | None = None) -> float:
+    """The share of positives in unlabelled text, from values of classifiers of p against u on rows of other folds.
+
+    mass: what tells the unlabelled rows above thresholds; those of u itself if it isn't given.
+    """
+    p_fold = np.arange(len(p)) % s.folds
+    u_fold = np.arange(len(u)) % s.folds if u_fold is None else u_fold
+    own = lambda ws, cuts: [(np.c_[u[u_fold == k] @ w[:-1]] >= c).mean(0) for k, (w, c) in enumerate(zip(ws, cuts, strict=True))]
+    ws = [_newton(p[p_fold != k], u[u_fold != k], s) for k in range(s.folds)]
+    values = [p[p_fold == k] @ w[:-1] for k, w in enumerate(ws)]
+    cuts = [np.quantile(f, _CUTS) for f in values]
+    ratios = [np.min(x / np.maximum((f[:, None] >= c).mean(0), 1e-9)) for x, f, c in zip((mass or own)(ws, cuts), values, cuts, strict=True)]
     return float(np.clip(np.mean(ratios), 0.05, 0.99))
 
 
 def _edges(v: np.ndarray) -> np.ndarray:
     """Zero has a bin of its own; the others hold equal shares of what is above."""
     above = v[v > 0]
-    return np.append(1e-12, np.quantile(above, np.linspace(0, 1, _BINS)[1:-1]) if len(above) else np.full(_BINS - 2, np.inf))
+    return np.append(1e-12, np.quantile(above, _PLACES) if len(above) else np.full(_BINS - 2, np.inf))
+
 
+def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, s: Settings, stats: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None, u_fold: np.ndarray | None = None, mass: Callable | None = None) -> Model:
+    """Non-negative PU risk: prior * E_p l(f) + max(0, E_u l(-f) - prior * E_p l(-f)).
 
-def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, s: Settings) -> Model:
-    """Non-negative PU risk: prior * E_p l(f) + max(0, E_u l(-f) - prior * E_p l(-f))."""
-    edges = np.stack([_edges(v) for v in unlabelled.T])
-    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-6
+    stats: edges, mean and scale; mass: what class_prior asks for, given edges, mean and scale first.  Both are taken
+    from the unlabelled rows if they aren't given.
+    """
+    edges, mean, scale = stats or (np.stack([_edges(v) for v in unlabelled.T[:_PLACED]]), unlabelled.mean(0), unlabelled.std(0) + 1e-6)
     p, u = (_expand(x, edges, mean, scale) for x in (positive, unlabelled))
-    prior = class_prior(p, u, s)
+    prior = class_prior(p, u, s, u_fold, mass and partial(mass, edges, mean, scale))
 
     def gradient(w, b):
         fp, fu = p @ w + b, u @ w + b
@@ -177,44 +192,105 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, s: Settings) -> Model
     return Model(edges, mean, scale, w, b, prior)
 
 
-def _some(df: DataFrame, id_col: str, most: int, seed: int) -> DataFrame:
+def _matrix(column: pa.Array) -> np.ndarray:
+    flat, offs = np.asarray(column.values), np.asarray(column.offsets)
+    return flat[offs[0] : offs[-1]].reshape(len(column), -1)
+
+
+def _numbers(docs: DataFrame, text_col: str, keep: list[str]) -> tuple[DataFrame, str]:
+    """The columns `keep` and the name of one with the numbers of each text."""
+
+    def run(texts):
+        x = style(texts)
+        return [pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1)))]
+
+    made, r = annotate(docs, [text_col], run, "x array<double>", keep)
+    return made.withColumn(r, F.col(r)["x"]), r
+
+
+def _statistics(x: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges, mean and scale over all rows of one column of numbers; edges within a ten-thousandth of their places."""
+    name = x.columns[0]
+    at = lambda k: F.get(F.col(quoted(name)), F.lit(k))
+    found = x.agg(*(F.avg(at(k)).alias(f"m{k}") for k in range(width)), *(F.stddev_pop(at(k)).alias(f"s{k}") for k in range(width)), *(F.percentile_approx(F.when(at(k) > 0, at(k)), list(map(float, _PLACES)), 10_000).alias(f"e{k}") for k in range(_PLACED))).first()
+    edges = np.stack([np.append(1e-12, found[f"e{k}"] or np.full(_BINS - 2, np.inf)) for k in range(_PLACED)])
+    return edges, np.array([found[f"m{k}"] for k in range(width)]), np.array([found[f"s{k}"] for k in range(width)]) + 1e-6
+
+
+def _above(x: DataFrame, s: Settings) -> Callable:
+    """The Mass of all rows (fold, numbers): counts are made where the rows are, and summed."""
+
+    def mass(edges, mean, scale, ws, cuts):
+        def run(batches):
+            n = np.zeros((s.folds, len(_CUTS) + 1), np.int64)
+            for b in batches:
+                fold, v = np.asarray(b.column(0)), _expand(_matrix(b.column(1)), edges, mean, scale)
+                for k in range(s.folds):
+                    f = v[fold == k] @ ws[k][:-1]
+                    n[k] += [*(f[:, None] >= cuts[k]).sum(0), len(f)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(s.folds), pa.int32()), pa.array(n.tolist(), pa.list_(pa.int64()))], names=["fold", "n"])
+
+        parts = x.mapInArrow(run, "fold int, n array<long>").select("fold", F.posexplode("n")).groupBy("fold", "pos").agg(F.sum("col").alias("n")).collect()
+        total = np.zeros((s.folds, len(_CUTS) + 1))
+        for r in parts:
+            total[r["fold"], r["pos"]] = r["n"]
+        return list(total[:, :-1] / np.maximum(total[:, -1:], 1))
+
+    return mass
+
+
+def _some(df: DataFrame, h: Column, most: int) -> DataFrame:
     """At most `most` rows, those of an interval of hashes that is expected to hold nine tenths as many."""
     n = df.count()
-    return df.filter(F.pmod(F.xxhash64(F.col(quoted(id_col)), F.lit(seed)), F.lit(1_000_000)) < F.lit(int(min(1.0, 0.9 * most / max(n, 1)) * 1_000_000))).limit(most) if n > most else df
+    return df.filter(F.pmod(h, F.lit(1_000_000)) < F.lit(int(min(1.0, 0.9 * most / max(n, 1)) * 1_000_000))).limit(most) if n > most else df
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", settings: Settings = Settings()) -> Model | None:
-    """Learn from positive labels and any texts of rows that aren't held out; None where there are none."""
-    s = settings
-    prepare(docs.sparkSession)
+def _fit(numbers: DataFrame, labels: DataFrame, id_col: str, x_col: str, labels_id: str, label_col: str, s: Settings) -> Model | None:
     c = lambda x: F.col(quoted(x))
-    trusted = labels.filter((c(label_col) == 1) & ~held_out(c(id_col))).select(c(id_col).alias("i")).distinct()
-    trusted = _some(trusted, "i", s.positives, 3)
-    rows = docs.filter(~held_out(c(id_col))).select(c(id_col).alias("i"), c(text_col).alias("t"))
+    trusted = labels.filter((c(label_col) == 1) & ~held_out(c(labels_id))).select(c(labels_id).alias("i")).distinct()
+    trusted = durable(_some(trusted, F.xxhash64("i", F.lit(3)), s.positives))
+    rows = numbers.select(c(id_col).alias("i"), c(x_col).alias("x"))
+    found = [r["x"] for r in rows.filter(~held_out("i")).join(F.broadcast(trusted), "i").select("x").limit(s.positives).collect()]
+    positive = np.array(sorted(found), np.float64)
+    folded = rows.select("i", F.pmod(F.xxhash64("i", "x", F.lit(9)), F.lit(s.folds)).cast("int").alias("fold"), "x")
+    some = _some(folded.filter(~held_out("i")), F.xxhash64("i", "x", F.lit(5)), s.unlabelled).select("fold", "x").collect()
+    some = sorted((r["x"], r["fold"]) for r in some)
+    if len(positive) < 2 * s.folds or any(sum(f != k for _, f in some) < 1 for k in range(s.folds)):
+        return None
+    stats = _statistics(rows.select("x"), positive.shape[1])
+    return fit_rows(positive, np.array([x for x, _ in some]), s, stats, np.array([f for _, f in some]), _above(folded.select("fold", "x"), s))
 
-    def numbers(df: DataFrame, most: int) -> np.ndarray:
-        made, r = annotate(df, ["t"], lambda t: [pa.array(list(style(t)), pa.list_(pa.float64()))], "x array<double>", [])
-        return np.array(sorted(x["x"] for x in made.select(F.col(r)["x"].alias("x")).limit(most).collect()), np.float64)
 
-    positive = numbers(rows.join(F.broadcast(trusted), "i"), s.positives)
-    unlabelled = numbers(_some(rows, "i", s.unlabelled, 5), s.unlabelled)
-    return fit_rows(positive, unlabelled, s) if len(positive) > 1 and len(unlabelled) > 1 else None
+def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", settings: Settings = Settings()) -> Model | None:
+    """Learn from positive labels and any texts of rows that aren't held out; None where there are too few.
+
+    Means, edges and masses above thresholds are those of all texts.
+    """
+    numbers, x = _numbers(docs, text_col, [id_col])
+    return _fit(durable(numbers), labels, id_col, x, id_col, label_col, settings)
 
 
-def score_rows(texts, m: Model | None) -> np.ndarray:
+def score_numbers(x: np.ndarray, m: Model | None) -> np.ndarray:
     if m is None:
-        return np.full(len(texts), 0.5)
-    return _sigmoid(_expand(style(texts), m.edges, m.mean, m.scale) @ m.weights + m.bias)
+        return np.full(len(x), 0.5)
+    return _sigmoid(_expand(x, m.edges, m.mean, m.scale) @ m.weights + m.bias)
 
 
 def mark(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, settings: Settings = Settings()) -> tuple[DataFrame, str]:
     """The columns `keep` of docs with a struct column of `score`, the probability of good quality.
 
-    A null text is scored as the empty one.  Where nothing can be learned (no positives, no texts) all scores are 0.5.
-    Ids that labels repeat count once, positive if any is.  Repeated rows are scored each; other columns stay.
+    A null text is scored as the empty one.  Where nothing can be learned (a few positives at most, no texts) all
+    scores are 0.5.  Ids that labels repeat count once, positive if any is.  Repeated rows are scored each; other
+    columns stay; an empty table gives an empty one.  If the text isn't kept, each is read once.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text_col=text_col, settings=settings))
-    return annotate(docs, [text_col], lambda texts: [score_rows(texts, model.value)], "score double", list(docs.columns if keep is None else keep))
+    keep = list(docs.columns if keep is None else keep)
+    if text_col in keep:
+        model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text_col=text_col, settings=settings))
+        return annotate(docs, [text_col], lambda texts: [score_numbers(style(texts), model.value)], "score double", keep)
+    numbers, x = _numbers(docs, text_col, list(dict.fromkeys([*keep, id_col])))
+    numbers = durable(numbers)
+    model = docs.sparkSession.sparkContext.broadcast(_fit(numbers, labels, id_col, x, id_col, "quality", settings))
+    return annotate(numbers, [x], lambda rows: [score_numbers(_matrix(rows), model.value)], "score double", keep)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -45,41 +45,45 @@ def longest_repeats(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     row = X.row_of(first)
     end = first[row + 1]
     key = X.mix(h + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key, kind="stable").astype(np.int32)
     same = key[order][1:] == key[order][:-1]
     head = np.concatenate([[True], ~same])
     start = np.flatnonzero(head)
-    rank = np.empty(n, np.int64)
-    rank[order] = np.repeat(start, np.diff(np.append(start, n))) + 1
-    history = [rank]
+    rank = np.empty(n, np.int32)
+    stop = np.append(start[1:], n)
+    rank[order] = np.repeat(stop, stop - start)  # one beyond a group's last place, so what a text's end cuts off a group leaves the rest as it is
+    before: list[tuple[np.ndarray, np.ndarray]] = []  # suffixes whose rank a round changed, and what it was
     # places in the suffix array whose suffixes aren't told apart yet
-    open_ = np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]]))
+    open_ = np.flatnonzero(np.concatenate([[False], same]) | np.concatenate([same, [False]])).astype(np.int32)
     adjacent = np.flatnonzero(same)  # (t, t + 1) share a first word
     step = 1
     while len(open_):
-        s = order[open_]
-        to = s + step
-        second = np.where(to < end[s], history[-1][np.minimum(to, n - 1)], 0)
-        by = np.lexsort((second, history[-1][s]))
-        s, second = s[by], second[by]
-        order[open_] = s
-        old = history[-1][s]
-        new_group = np.concatenate([[True], old[1:] != old[:-1]])
-        new_head = new_group | np.concatenate([[True], second[1:] != second[:-1]])
-        at = np.flatnonzero(new_head)
-        rank = history[-1].copy()
-        rank[s] = np.repeat(open_[at], np.diff(np.append(at, len(s)))) + 1
-        history.append(rank)
+        at = order[open_]
+        to = at + np.int64(step)
+        both = np.where(to < end[at], rank[np.minimum(to, n - 1)], 0) + rank[at].astype(np.int64) * (n + 2)
+        by = np.argsort(both, kind="stable")
+        at, both = at[by], both[by]
+        order[open_] = at
+        new_head = np.concatenate([[True], both[1:] != both[:-1]])
+        cut = np.flatnonzero(new_head)
+        stop = np.append(cut[1:], len(at))
+        now = np.repeat(open_[stop - 1], stop - cut) + np.int32(1)
+        changed = rank[at] != now
+        before.append((at[changed], rank[at[changed]]))
+        rank[at] = now
         single = new_head & np.append(new_head[1:], True)
         open_ = open_[~single]
         step *= 2
     p, q = order[adjacent], order[adjacent + 1]
-    length = np.zeros(len(p), np.int64)
-    for k in range(len(history) - 1, -1, -1):
+    length, p_end, q_end = np.zeros(len(p), np.int32), end[p], end[q]
+    for k in range(len(before), -1, -1):  # equal ranks after k rounds: 2 ** k words agree
         a, b = p + length, q + length
-        ok = (a < end[p]) & (b < end[q])
+        ok = (a < p_end) & (b < q_end)
         a, b = np.minimum(a, n - 1), np.minimum(b, n - 1)
-        length += np.where(ok & (history[k][a] == history[k][b]), 1 << k, 0)
+        length += np.where(ok & (rank[a] == rank[b]), np.int32(1 << k), np.int32(0))
+        if k:
+            rank[before[k - 1][0]] = before[k - 1][1]
+            before.pop()
     np.maximum.at(best, p, length)
     np.maximum.at(best, q, length)
     return best
