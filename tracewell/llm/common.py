@@ -45,10 +45,16 @@ def prepare(spark: SparkSession) -> None:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of spark.checkpoint.dir; a folder of our own only where none is set."""
+    """Checkpoint to the shared folder of spark.checkpoint.dir.
+
+    Where none is set, a folder of our own will do only if driver and executors are one process.
+    """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp())
     return df.checkpoint(eager=True)
 
 

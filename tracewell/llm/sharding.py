@@ -1,7 +1,8 @@
 """Sharding by Karmarkar-Karp differencing, with near-equal bytes and groups kept whole.
 
-Documents of equal text are a group and stay together.  Groups are hashed to `units` units, so a unit holds whole
-groups and the driver sees a bounded table of sums however many groups there are.  Each unit starts as a partial
+Documents of equal text are a group and stay together.  A group of more than a 1024th of all bytes is a unit of its
+own, and there are fewer than 1024 of those; the others are hashed to `units` units.  So a unit holds whole groups and
+the driver sees a bounded table of sums however many groups there are.  Each unit starts as a partial
 partition with its bytes in one of n places; the two partial partitions of largest spread are combined, the heaviest
 place of one with the lightest of the other, until one is left.
 
@@ -23,6 +24,8 @@ from tracewell.llm.common import durable, prepare, quoted
 
 #: Partitions that slots are counted by; a table of this many times the shards reaches the driver.
 _MOST_PARTITIONS = 20_000
+#: A group of more than this part of all bytes is a unit of its own.
+_HEAVY = 1024
 
 
 def karmarkar_karp(weights: list[int], n: int) -> list[int]:
@@ -66,17 +69,21 @@ def assign(docs: DataFrame, *, shards: int = 16, units: int = 1 << 15, id_col: s
     slot (gapless from 0 in its shard) and grown_shard (null: more shards mean another partition).
 
     A null text counts as the empty one, in its group too.  Repeated rows are of one group, so they share a shard, and
-    each has its slot.  A group of more than a shard's even share is alone above the others.  An empty table gives an
-    empty one; other columns are not looked at.
+    each has its slot.  A group of more than a shard's even share has a shard to itself, and the others are balanced.
+    An empty table gives an empty one; other columns are not looked at.
     """
     prepare(docs.sparkSession)
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
-    sized = docs.select(F.col(quoted(id_col)).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.pmod(F.xxhash64(text), F.lit(units)).cast("int").alias("unit"))
+    sized = docs.select(F.col(quoted(id_col)).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("group"))
     if docs.rdd.getNumPartitions() > _MOST_PARTITIONS:
         sized = sized.coalesce(_MOST_PARTITIONS)
     sized = durable(sized)
+    total = sized.agg(F.sum("size")).first()[0] or 0
+    heavy = sized.groupBy("group").agg(F.sum("size").alias("s")).filter(F.col("s") * _HEAVY > total).orderBy("group").select("group").collect()
+    own = docs.sparkSession.createDataFrame([(r["group"], units + i) for i, r in enumerate(heavy)], "group long, own int")
+    sized = sized.join(F.broadcast(own), "group", "left").select("doc_id", "size", "text_crc32", F.coalesce("own", F.pmod("group", F.lit(units)).cast("int")).alias("unit"))
     sums = sized.groupBy("unit").agg(F.sum("size").alias("size")).toPandas().sort_values(["size", "unit"], ascending=[False, True])
-    place = np.zeros(units, np.int32)
+    place = np.zeros(units + len(heavy), np.int32)
     place[sums["unit"].to_numpy()] = karmarkar_karp([int(x) for x in sums["size"]], shards)
     context = docs.sparkSession.sparkContext
     placed = context.broadcast(place)
