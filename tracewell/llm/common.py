@@ -47,7 +47,9 @@ def prepare(spark: SparkSession) -> None:
 def durable(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder of spark.checkpoint.dir.
 
-    Where none is set, a folder of our own will do only if driver and executors are one process.
+    Where none is set, a folder of our own will do only if driver and executors are one process.  What is kept of df is
+    its rows alone: a checkpoint hands on what its plan was thought to weigh, and rounds of joins would multiply that
+    until the numbers have millions of digits.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
@@ -55,7 +57,9 @@ def durable(df: DataFrame) -> DataFrame:
         if not folder and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp())
-    return df.checkpoint(eager=True)
+    kept = df.checkpoint(eager=True)
+    made = df.sparkSession._jsparkSession.internalCreateDataFrame(kept._jdf.queryExecution().toRdd(), kept._jdf.schema(), False)
+    return DataFrame(made, df.sparkSession)
 
 
 def release(spark: SparkSession) -> None:
