@@ -1,13 +1,29 @@
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from tracewell.operators import manifest as M
-from tracewell.operators import membership
-from tracewell.sources import files
+from tracewell.operators import membership, sketch
+from tracewell.plans import snapshot
+from tracewell.sources import files, seek
+
+# a dataset of our own: a sorted master of all records and two shards of some
+RECORDS = sorted(["lantern", "Quay-7", "quay-7", "quay-77", "0:anchor", "tide table", "ölzeug", "rope\tend", "lantern2", "buoy"], key=str.encode)
+SHARDS = {"harbour_7.txt": RECORDS[:4], "harbour_12.txt": RECORDS[3:7]}
+
+
+def text(records):
+    return "".join(f"{r}\n" for r in records).encode()
+
+
+def place(record):
+    return len(text(RECORDS[: RECORDS.index(record)]))
+
 
-MASTER = b"!!!!!\n?4o:U\nAdmin2002\nAdmin2002123\nfound-only-in-the-sorted-file\nzebra\n"
-SHARD = b"!!!!!\n?4o:U\n"
-MANIFEST = b"all_in_one_1.txt\n!!!!!\n?4o:U\n"
+MASTER = text(RECORDS)
+MANIFEST = "".join(f"{name}\n{rs[0]}\n{rs[-1]}\n" for name, rs in SHARDS.items()).encode()
 
 
 def put(root, **datasets):
@@ -20,7 +36,7 @@ def put(root, **datasets):
 
 @pytest.fixture
 def corpus(tmp_path):
-    return put(tmp_path, all_in_one={"all_in_one_1.txt": SHARD, "all_in_one_sorted.txt": MASTER, "lookup.txt": MANIFEST})
+    return put(tmp_path, harbour={**{name: text(rs) for name, rs in SHARDS.items()}, "harbour_sorted.txt": MASTER, "lookup.txt": MANIFEST})
 
 
 def rows(df, *cols):
@@ -51,35 +67,107 @@ def test_files_cut_into_blocks_are_numbered_alike(spark, tmp_path):
 
 
 def test_only_whole_records_match_and_probes_stay_hidden(spark, corpus):
-    lines = files.read_lines(spark, f"{corpus}/all_in_one/all_in_one_sorted.txt")
-    probes = spark.createDataFrame([(p,) for p in ("Admin2002", "Admin", "found-only-in-the-sorted-file", "~", "", "ZEBRA", "-rf")] + [(None,)], "probe string")
-    found = membership.membership(probes, lines)
-    assert {r["probe"]: r["hit"] for r in found.collect()} == {"Admin2002": True, "Admin": False, "found-only-in-the-sorted-file": True, "~": False, "": False, "ZEBRA": False, "-rf": False, None: False}
+    lines = files.read_lines(spark, f"{corpus}/harbour/harbour_sorted.txt")
+    asked = {"quay-7": True, "quay": False, "tide table": True, "tide": False, "zinc": False, "": False, "LANTERN": False, "--": False, "ölzeug": True, None: False}
+    probes = spark.createDataFrame([(p,) for p in asked], "probe string")
+    assert {r["probe"]: r["hit"] for r in membership.membership(probes, lines).collect()} == asked
     places = membership.locations(probes, lines, ["file", "offset"])
-    assert rows(places, "probe", "offset") == [("Admin2002", 12), ("found-only-in-the-sorted-file", 35)]
+    assert rows(places, "probe", "offset") == sorted((p, place(p)) for p, hit in asked.items() if hit)
     assert "line" not in places.columns
-    assert rows(membership.proper_prefixes(probes, lines), "probe") == [("Admin",)]
+    assert rows(membership.proper_prefixes(probes, lines), "probe") == [("quay",), ("tide",)]
 
 
 def test_master_supersedes_its_shards(spark, corpus):
-    index = files.build_index(spark, corpus)
-    assert rows(index, "kind", "file", "lo", "hi", "size_bytes", "place") == [("sorted", "all_in_one_sorted.txt", "!!!!!", "zebra", 71, 1)]
-    probes = spark.createDataFrame([("Admin",), ("~",), ("",)], "probe string")
-    assert rows(membership.candidates(probes, index), "probe") == [("Admin",)]
+    for scan in (True, False):
+        index = files.build_index(spark, corpus, scan=scan)
+        assert rows(index, "kind", "file", "lo", "hi", "size_bytes", "place") == [("sorted", "harbour_sorted.txt", RECORDS[0], RECORDS[-1], len(MASTER), 1)]
+    probes = spark.createDataFrame([("mast",), ("\U0001f600",), ("",)], "probe string")
+    assert rows(membership.candidates(probes, index), "probe") == [("mast",)]
 
 
 def test_status_and_audit_of_a_sound_corpus(spark, corpus):
-    warning = "all_in_one: lookup shards cover 12 bytes but sorted master all_in_one_sorted.txt is 71 bytes"
+    shard_bytes = sum(len(text(rs)) for rs in SHARDS.values())
+    warning = M.LOW_COVERAGE % ("harbour", shard_bytes, "harbour_sorted.txt", len(MASTER))
     s = files.status(spark, corpus).first()
-    assert (s["ok"], s["dataset_count"], s["shard_count"], s["missing_files"], s["unsorted_datasets"], s["sorted_datasets"], s["coverage_warnings"]) == (True, 1, 1, [], [], ["all_in_one"], [warning])
-    a = files.audit(spark, corpus).first()
-    assert (a["ok"], a["shards"], a["sampled_files"], a["sorted"], a["shard_bytes"], a["master_bytes"], a["errors"], a["warnings"]) == (True, 1, 1, True, 12, 71, [], [warning])
+    assert (s["ok"], s["dataset_count"], s["shard_count"], s["missing_files"], s["unsorted_datasets"], s["sorted_datasets"], s["coverage_warnings"], s["audit"]) == (True, 1, 1, [], [], ["harbour"], [warning], None)
+    audited = files.audit(spark, corpus)
+    a = audited.first()
+    assert (a["ok"], a["shards"], a["sampled_files"], a["sorted"], a["shard_bytes"], a["master_bytes"], a["errors"], a["warnings"]) == (True, 2, 2, True, shard_bytes, len(MASTER), [], [warning])
+    said, code = files.audit_outcome(audited, 0)
+    assert code == 0 and json.loads(said) == {"ok": True, "checkedAt": "1970-01-01T00:00:00.000Z", "datasetCount": 1, "errors": [], "warnings": [warning], "results": [{"dataset": "harbour", "shards": 2, "sampledFiles": 2, "sorted": True, "shardBytes": shard_bytes, "sortedMaster": {"file": "harbour_sorted.txt", "sizeBytes": len(MASTER)}}]}
+    audits = snapshot.Audits(lambda: json.loads(said))
+    audits.once()
+    assert json.loads(files.status(spark, corpus, audits).first()["audit"])["report"]["results"][0]["dataset"] == "harbour"
 
 
 def test_rebuild_gives_the_manifest_back(spark, corpus):
-    (files_at := __import__("pathlib").Path(corpus) / "all_in_one" / "lookup.txt").write_bytes(b"stale\na\nb\n")
-    assert rows(files.rebuild(spark, corpus), "dataset", "shards") == [("all_in_one", 1)]
-    assert files_at.read_bytes() == MANIFEST
+    at = Path(corpus) / "harbour" / "lookup.txt"
+    at.write_bytes(b"stale\na\nb\n")
+    rebuilt = files.rebuild(spark, corpus)
+    assert rows(rebuilt, "dataset", "shards") == [("harbour", 2)]
+    assert at.read_bytes() == MANIFEST and {p.name for p in at.parent.iterdir()} >= {*SHARDS, "lookup.txt"}
+    report = files.rebuild_report(rebuilt, 1000).first()
+    assert (report["ok"], report["rebuiltAt"], report["datasetCount"], [tuple(r) for r in report["results"]]) == (True, "1970-01-01T00:00:01.000Z", 1, [("harbour", 2)])
+
+
+def test_unsorted_files_lose_no_match(spark, tmp_path):
+    """A master and a shard whose first and last record aren't the least and the greatest."""
+    root = put(tmp_path, mixed={"mixed_sorted.txt": b"m\nz\na\nn\n", "m_1.txt": b"m\n", "lookup.txt": b"m_1.txt\nm\nm\n"}, loose={"l_1.txt": b"k\na\nz\nk\n", "lookup.txt": b"l_1.txt\nk\nk\ngone.txt\nb\nc\n"})
+    index = files.build_index(spark, root)
+    assert rows(index, "dataset", "file", "lo", "hi") == [("loose", "gone.txt", "b", "c"), ("loose", "l_1.txt", "a", "z"), ("mixed", "mixed_sorted.txt", "a", "z")]
+    probes = spark.createDataFrame([("a",), ("z",), ("k",)], "probe string")
+    assert rows(membership.candidates(probes, index).filter("file <> 'gone.txt'"), "probe", "dataset") == [(p, d) for p in "akz" for d in ("loose", "mixed")]
+    a = {r["dataset"]: r for r in files.audit(spark, root).collect()}
+    assert "mixed/mixed_sorted.txt is not in byte order" in a["mixed"]["warnings"]
+    assert files.audit_outcome(files.audit(spark, root), 0)[1] == 1
+
+
+def test_facts_of_files_cut_into_blocks(spark, tmp_path):
+    lines = [f"{i * 7919 % 10007:05d}" for i in range(4000)]
+    root = put(tmp_path, d={"a.txt": text(sorted(lines)), "b.txt": text(lines) + b"\n\n", "c.txt": b"\n\n", "none.txt": b""})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        got = {r["file"]: r for r in files.file_facts(spark, [f"{root}/d/{x}.txt" for x in ("a", "b", "c", "none")]).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert set(got) == {"a.txt", "b.txt", "c.txt"}
+    a, b, c = (got[f"{x}.txt"] for x in "abc")
+    assert (a["first_line"], a["last_full_line"], a["in_order"], a["records"], a["size_bytes"]) == (min(lines), max(lines), True, 4000, 24_000)
+    assert (b["first_line"], b["last_line"], b["last_full_line"], b["lo"], b["hi"], b["in_order"], b["records"]) == (lines[0], "", lines[-1], "", max(lines), False, 4002)
+    assert (c["first_line"], c["last_full_line"], c["in_order"]) == ("", None, True)
+
+
+def test_seeking_reads_few_bytes(spark, tmp_path):
+    lines = sorted({f"{i * 7919 % 100_003:06d}" + "x" * (i % 50) for i in range(20_000)})
+    raw = "".join(f"{x}{chr(13) if i % 3 == 0 else ''}\n" for i, x in enumerate(lines)).encode()
+    root = put(tmp_path, d={"s_sorted.txt": raw, "one.txt": b"only", "blank.txt": b"\n\n", "none.txt": b"", "dup.txt": b"a\nb\nb\nb\nc\n"})
+    with seek.TextFile(spark, f"{root}/d/s_sorted.txt", block=256) as f:
+        whole, reads = f.bytes_at, []
+        f.bytes_at = lambda a, z: reads.append((a, z)) or whole(a, z)
+        at = 0
+        for i, x in enumerate(lines[:40] + lines[-3:]):
+            found = f.find(x)
+            assert found.record.decode() == x and raw[found.offset : found.next].rstrip(b"\r\n").decode() == x
+        assert len(reads) < 43 * 20 * 4 and all(z - a <= 256 for a, z in reads)
+        assert f.find("zzz") is None and f.find("0") is None and f.find("") is None
+        for at in (0, 1, 5, len(raw) // 2, len(raw) - 1, len(raw) + 10):
+            begin = raw.rfind(b"\n", 0, min(at, len(raw) - 1)) + 1
+            assert f.line_holding(at).offset == begin
+        assert f.line_from(3).raw == raw[3 : raw.index(b"\n")] and f.line_from(len(raw)) is None
+        assert [x.decode() for x in f.ends()] == [lines[0], lines[-1]]
+    got = {p.rsplit("/", 1)[1]: (a, z, n) for p, a, z, n in seek.boundaries(spark, [f"{root}/d/{x}.txt" for x in ("one", "blank", "none", "dup")])}
+    assert got == {"one.txt": (b"only", b"only", 4), "blank.txt": (None, None, 2), "none.txt": (None, None, 0), "dup.txt": (b"a", b"c", 10)}
+    assert seek.point_lookup(spark, "b", [f"{root}/d/{x}.txt" for x in ("one", "dup", "none")]) == [(f"{root}/d/dup.txt", 2)]
+
+
+def test_filters_beside_files(spark, corpus, tmp_path):
+    paths = [f"{corpus}/harbour/{name}" for name in SHARDS]
+    files.write_filters(spark, paths, f"{tmp_path}/bloom", n=100)
+    probes = spark.createDataFrame([(r,) for r in [*RECORDS, "nowhere", ""]], "probe string")
+    passed = sketch.files_that_may_hold(spark.read.parquet(f"{tmp_path}/bloom"), probes, ["dataset", "file"])
+    assert set(rows(passed, "probe", "file")) >= {(r, name) for name, rs in SHARDS.items() for r in rs}
+    assert files.text_files(spark, f"{corpus}/harbour") == sorted(f"file:{corpus}/harbour/{name}" for name in [*SHARDS, "harbour_sorted.txt", "lookup.txt"])
 
 
 def test_rebuild_orders_files_by_number(spark, tmp_path):

@@ -11,6 +11,25 @@ from pyspark.sql import functions as F
 from tracewell.functions import strings as S
 
 
+# Texts of reports that callers know.
+BAD_MANIFEST = "%s/lookup.txt has %d lines, expected a multiple of 3"
+LOW_COVERAGE = "%s: lookup shards cover %d bytes but sorted master %s is %d bytes"
+UNSORTED_MANIFEST = "%s/lookup.txt is not sorted at entry %d"
+BAD_BOUNDARIES = " boundaries do not match lookup.txt"
+
+
+def merged_ends(parts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """(keys, first_line, last_line, last_full_line, records, size_bytes) of files from their parts' ends.
+
+    parts: first, last, last_full (null if all of its records are empty), records and size_bytes, in order of `order`.
+    """
+    full = F.col("last_full").isNotNull()
+    return parts.groupBy(*keys).agg(
+        F.min_by("first", order).alias("first_line"), F.max_by("last", order).alias("last_line"), F.max_by(F.when(full, F.col("last_full")), F.when(full, F.col(order))).alias("last_full_line"),
+        F.sum("records").cast("long").alias("records"), F.sum("size_bytes").cast("long").alias("size_bytes"),
+    )
+
+
 def boundaries(records: DataFrame, keys: list[str], order: Column, record: str = "line") -> DataFrame:
     """First record, last record that isn't empty, and bytes of each file; files of empty records only are left out."""
     full = F.col(record) != ""
@@ -42,7 +61,7 @@ def parse(raw: DataFrame) -> DataFrame:
     lines = raw.select("dataset", F.transform(S.split_lines("content"), S.strip_cr).alias("lines"))
     n = F.size("lines")
     good = lines.filter(n % 3 == 0).select("dataset", F.explode(F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest((n / 3).cast("int") - 1, F.lit(0))), lambda i: F.struct(i.alias("entry"), F.get("lines", i * 3).alias("file"), F.get("lines", i * 3 + 1).alias("lo"), F.get("lines", i * 3 + 2).alias("hi"))))).alias("e"))
-    bad = lines.filter(n % 3 != 0).select("dataset", F.format_string("%s/lookup.txt has %d lines, expected a multiple of 3", "dataset", n).alias("error"))
+    bad = lines.filter(n % 3 != 0).select("dataset", F.format_string(BAD_MANIFEST, "dataset", n).alias("error"))
     return good.select("dataset", F.col("e.entry").alias("entry"), F.col("e.file").alias("file"), F.col("e.lo").alias("lo"), F.col("e.hi").alias("hi"), F.lit(None).cast("string").alias("error")).unionByName(bad, allowMissingColumns=True)
 
 
@@ -89,7 +108,7 @@ def coverage(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     m = largest_masters(listing).withColumnRenamed("file", "master_file").withColumnRenamed("size_bytes", "master_bytes")
     both = m.join(found, "dataset", "left").withColumn("shard_bytes", F.coalesce("shard_bytes", F.lit(0).cast("long")))
     less = F.col("shard_bytes") < F.col("master_bytes")
-    said = F.format_string("%s: lookup shards cover %d bytes but sorted master %s is %d bytes", "dataset", "shard_bytes", "master_file", "master_bytes")
+    said = F.format_string(LOW_COVERAGE, "dataset", "shard_bytes", "master_file", "master_bytes")
     return both.select("dataset", "shard_bytes", "master_file", "master_bytes", (less & (F.col("shard_bytes") > 0)).alias("index_warns"), less.alias("audit_warns"), F.when(less, said).alias("warning"))
 
 
@@ -139,3 +158,29 @@ def status(index: DataFrame, manifest: DataFrame, listing: DataFrame, datasets:
     lists = [F.sort_array(F.collect_set(of(name))).alias(name) for name in list(parts)[:4]]
     out = rows.agg(F.countDistinct(of("dataset_count")).alias("dataset_count"), F.count(of("shard_count")).alias("shard_count"), *lists)
     return out.select((F.size("missing_files") == 0).alias("ok"), "*")
+
+
+def with_findings(report: DataFrame, errors: DataFrame, warnings: DataFrame) -> DataFrame:
+    """A report's rows with lists of their errors and warnings; both are (dataset, e)."""
+    none = F.array().cast("array<string>")
+    for name, found in (("errors", errors), ("warnings", warnings)):
+        listed = found.groupBy("dataset").agg(F.sort_array(F.collect_list("e")).alias(name))
+        report = report.join(listed, "dataset", "left").withColumn(name, F.coalesce(name, none))
+    return report
+
+
+def audit_json(audited: DataFrame, at_ms: int) -> DataFrame:
+    """(ok, json): an audit's rows as one JSON document, as callers know it; a row a dataset goes into it."""
+    master = F.when(F.col("master_file").isNotNull(), F.struct(F.col("master_file").alias("file"), F.col("master_bytes").alias("sizeBytes")))
+    row = F.struct("dataset", "shards", F.col("sampled_files").alias("sampledFiles"), "sorted", F.col("shard_bytes").alias("shardBytes"), master.alias("sortedMaster"))
+    every = lambda c: F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("dataset", c))), lambda x: x[c]))
+    whole = audited.agg(every("errors").alias("errors"), every("warnings").alias("warnings"), F.sort_array(F.collect_list(row)).alias("results"), F.count("*").alias("datasetCount"))
+    ok = F.size("errors") == 0
+    said = F.struct(ok.alias("ok"), S.iso_time(F.lit(at_ms)).alias("checkedAt"), "datasetCount", "errors", "warnings", "results")
+    return whole.select(ok.alias("ok"), F.to_json(said).alias("json"))
+
+
+def rebuild_report(rebuilt: DataFrame, at_ms: int) -> DataFrame:
+    """One row: ok, rebuiltAt, datasetCount and results, from (dataset, shards)."""
+    whole = rebuilt.agg(F.sort_array(F.collect_list(F.struct("dataset", "shards"))).alias("results"), F.count("*").alias("datasetCount"))
+    return whole.select(F.lit(True).alias("ok"), S.iso_time(F.lit(at_ms)).alias("rebuiltAt"), "datasetCount", "results")

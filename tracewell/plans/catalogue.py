@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from tracewell.functions import strings as S
 from tracewell.operators import kanon, membership, sketch
 from tracewell.operators import manifest as M
-from tracewell.operators.prefix import running_before
+from tracewell.operators.stretches import running_before
 from tracewell.plans import domain as D
+from tracewell.session import durable, shared_folder
 from tracewell.streaming import lookups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,7 +76,7 @@ def _word_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT probe, kind, dataset, file FROM probes JOIN index_ ON probe BETWEEN lo AND hi")
 def candidate_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = _word_index(spark, sf_dir).cache()  # a row a file; read for the bins' bounds and for the join
+    index = durable(_word_index(spark, sf_dir))  # a row a file; read for the bins' bounds and for the join
     return membership.candidates(D.probes(spark, sf_dir), index).select("probe", "kind", "dataset", "file")
 
 
@@ -84,8 +85,11 @@ SELECT l.dataset, l.file, l.line_no, md5(l.line) AS probe_id FROM
 (SELECT *, row_number() OVER (PARTITION BY dataset, file ORDER BY doc_id, pos) AS line_no FROM lines) l JOIN line_probes p ON l.line = p.probe
 """)
 def exact_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = running_before(D.lines(spark, sf_dir), ["dataset", "file"], F.floor(F.col("doc_id") / 1024), ["doc_id", "pos"], F.lit(1), "before")
-    found = membership.locations(D.line_probes(spark, sf_dir), numbered.withColumn("line_no", F.col("before") + 1), ["dataset", "file", "line_no"])
+    """Documents are numbered, a row each, and only hits look up where their document begins."""
+    parts = D.line_ends(spark, sf_dir).select("dataset", "file", "doc_id", "records")
+    begins = running_before(parts, ["dataset", "file"], ["doc_id"], F.col("records"), "before").select("dataset", "file", "doc_id", "before")
+    found = membership.locations(D.line_probes(spark, sf_dir), D.lines(spark, sf_dir), ["dataset", "file", "doc_id", "pos"])
+    found = found.join(begins, ["dataset", "file", "doc_id"]).withColumn("line_no", F.col("before") + F.col("pos") + 1)
     return found.select("dataset", "file", "line_no", F.md5(F.col("probe").cast("binary")).alias("probe_id"))
 
 
@@ -101,6 +105,14 @@ def lower_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return membership.lower_bound(D.probes(spark, sf_dir), D.words(spark, sf_dir))
 
 
+def _positions(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
+    """(dataset, position): each step-th byte of each dataset; blocks of them are dealt out before they are spelt."""
+    total = D.line_ends(spark, sf_dir).groupBy("dataset").agg(F.sum("size_bytes").cast("long").alias("s"))
+    zero, block = F.lit(0).cast("long"), F.lit(step * 4096).cast("long")
+    blocks = total.select("dataset", "s", F.explode(F.sequence(zero, F.col("s") - 1, block)).alias("b"))
+    return blocks.select("dataset", F.explode(F.sequence(F.col("b"), F.least(F.col("b") + block, F.col("s")) - 1, F.lit(step).cast("long"))).alias("position"))
+
+
 @query("""
 SELECT o.dataset, p.position, CAST(o."offset" + ((p.position - o."offset") // (strlen(o.line) + 1)) * (strlen(o.line) + 1) AS BIGINT) AS line_offset
 FROM offsets o JOIN (SELECT dataset, CAST(unnest(range(0, CAST(s AS BIGINT), 1009)) AS BIGINT) AS position FROM whole) p
@@ -108,9 +120,19 @@ ON o.dataset = p.dataset AND o."offset" <= p.position AND p.position < o."offset
 """)
 def line_at_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = D.lines(spark, sf_dir)
-    total = rows.groupBy("dataset").agg(F.sum(S.record_bytes("line")).cast("long").alias("s"))
-    positions = total.select("dataset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("s") - 1, F.lit(1009).cast("long"))).alias("position"))
-    return membership.line_at(membership.master_offsets(rows, ["dataset"]), positions, ["dataset"]).select("dataset", "position", "line_offset")
+    found = membership.line_at(membership.master_offsets(rows, ["dataset"]), _positions(spark, sf_dir, 1009), ["dataset"])
+    return found.select("dataset", "position", "line_offset")
+
+
+@query("""
+SELECT o.dataset, p.position, md5(encode(o.line)[CAST((p.position - o."offset") % (strlen(o.line) + 1) AS BIGINT) + 1:]) AS rest_id, CAST(strlen(o.line) - (p.position - o."offset") % (strlen(o.line) + 1) AS BIGINT) AS rest_bytes
+FROM offsets o JOIN (SELECT dataset, CAST(unnest(range(0, CAST(s AS BIGINT), 2003)) AS BIGINT) AS position FROM whole) p
+ON o.dataset = p.dataset AND o."offset" <= p.position AND p.position < o."offset" + (strlen(o.line) + 1) * o.n
+""")
+def line_starting_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader that jumps to each 2003rd byte of a sorted master reads up to the line's end."""
+    found = membership.line_starting(membership.master_offsets(D.lines(spark, sf_dir), ["dataset"]), _positions(spark, sf_dir, 2003), ["dataset"])
+    return found.select("dataset", "position", F.md5(F.col("rest").cast("binary")).alias("rest_id"), F.octet_length("rest").cast("long").alias("rest_bytes"))
 
 
 @query("""
@@ -118,7 +140,8 @@ SELECT dataset, file, arg_min(line, (doc_id, pos)) AS first_line, arg_max(line,
 FROM lines GROUP BY dataset, file HAVING bool_or(line <> '')
 """)
 def file_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.boundaries(D.lines(spark, sf_dir), ["dataset", "file"], D.order())
+    ends = M.merged_ends(D.line_ends(spark, sf_dir), ["dataset", "file"], "doc_id").filter("last_full_line is not null")
+    return ends.select("dataset", "file", "first_line", F.col("last_full_line").alias("last_line"), "size_bytes")
 
 
 @query("SELECT dataset, file, lo, hi, records, size_bytes, entry FROM positional_manifest")
@@ -189,9 +212,9 @@ SELECT p.dataset, p.file, r.lo, r.hi, p.lo AS first_line, p.hi AS last_line FROM
 JOIN (SELECT dataset, file, min(line) AS lo, max(line) AS hi FROM lines GROUP BY dataset, file) r ON p.dataset = r.dataset AND p.file = r.file WHERE r.lo <> p.lo OR r.hi <> p.hi
 """)
 def audit_boundary_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.lines(spark, sf_dir)
-    both = rows.groupBy("dataset", "file").agg(F.min("line").alias("lo"), F.max("line").alias("hi"), F.min_by("line", D.order()).alias("first_line"), F.max_by("line", D.order()).alias("last_line"))
-    return M.boundary_mismatches(both.select("dataset", "file", "lo", "hi"), both.select("dataset", "file", "first_line", "last_line"))
+    ranges = M.ranges(D.lines(spark, sf_dir), ["dataset", "file"])
+    ends = M.merged_ends(D.line_ends(spark, sf_dir), ["dataset", "file"], "doc_id")
+    return M.boundary_mismatches(ranges.select("dataset", "file", "lo", "hi"), ends.select("dataset", "file", "first_line", "last_line"))
 
 
 @query("""
@@ -203,21 +226,89 @@ def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.audit_report(D.positional_manifest(spark, sf_dir).drop("size_bytes"), D.named_listing(spark, sf_dir))
 
 
-@query(f"""
-SELECT (SELECT count(*) FROM positional_manifest WHERE size_bytes < 2000) = 0 AS ok, (SELECT count(DISTINCT source) FROM documents) AS dataset_count, (SELECT count(*) FROM positional_manifest) AS shard_count,
-(SELECT array_to_string(coalesce(list(dataset || '/' || file ORDER BY dataset || '/' || file), []), ',') FROM positional_manifest WHERE size_bytes < 2000) AS missing_files,
-(SELECT array_to_string(coalesce(list(dataset ORDER BY dataset), []), ',') FROM unsorted_lohi) AS unsorted_datasets, '' AS sorted_datasets,
-(SELECT array_to_string(coalesce(list(warning ORDER BY warning), []), ',') FROM ({_COVERAGE}) WHERE index_warns AND dataset NOT IN (SELECT dataset FROM positional_manifest WHERE size_bytes < 2000)) AS coverage_warnings
+@query("""
+SELECT (SELECT count(*) FROM there_index WHERE (dataset, file) NOT IN (SELECT (dataset, file) FROM there)) = 0 AS ok, (SELECT count(DISTINCT source) FROM documents) AS dataset_count, (SELECT count(*) FROM there_index) AS shard_count,
+(SELECT array_to_string(coalesce(list(dataset || '/' || file ORDER BY dataset || '/' || file), []), ',') FROM there_index WHERE (dataset, file) NOT IN (SELECT (dataset, file) FROM there)) AS missing_files,
+(SELECT array_to_string(coalesce(list(dataset ORDER BY dataset), []), ',') FROM unsorted_lohi) AS unsorted_datasets,
+(SELECT array_to_string(coalesce(list(dataset ORDER BY dataset), []), ',') FROM there_index WHERE kind = 'sorted') AS sorted_datasets,
+(SELECT array_to_string(coalesce(list(w ORDER BY w), []), ',') FROM (
+  SELECT m.dataset || ': lookup shards cover ' || b.s || ' bytes but sorted master ' || m.file || ' is ' || m.size_bytes || ' bytes' AS w
+  FROM there_masters m JOIN (SELECT dataset, CAST(sum(size_bytes) AS BIGINT) AS s FROM positional_manifest WHERE size_bytes >= 2000 GROUP BY dataset) b ON m.dataset = b.dataset WHERE b.s < m.size_bytes)) AS coverage_warnings
 """)
 def status_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest, listing = D.positional_manifest(spark, sf_dir), D.named_listing(spark, sf_dir)
-    gone = manifest.filter("size_bytes < 2000").select("dataset").distinct()
-    index = M.effective(manifest.limit(0), manifest)
-    there = listing.filter("size_bytes >= 2000")
+    """Files of fewer than 2000 bytes are missing; short-named datasets have a sorted master."""
+    manifest, there = D.positional_manifest(spark, sf_dir), D.named_listing(spark, sf_dir).filter("size_bytes >= 2000")
+    masters = M.largest_masters(there).filter("octet_length(dataset) = 4").selectExpr("*", "cast(null as string) AS lo", "cast(null as string) AS hi")
+    index = M.effective(masters, manifest)
     out = M.status(index, manifest.drop("size_bytes"), there, D.table(spark, sf_dir, "documents").select(F.col("source").alias("dataset")))
-    warned = M.coverage(manifest.drop("size_bytes"), listing).filter("index_warns").join(gone, "dataset", "left_anti")
-    joined = {c: F.array_join(c, ",") for c in ("missing_files", "unsorted_datasets", "sorted_datasets")}
-    return out.withColumns(joined).withColumn("coverage_warnings", warned.agg(F.array_join(F.sort_array(F.collect_set("warning")), ",")).scalar())
+    return out.withColumns({c: F.array_join(c, ",") for c in ("missing_files", "unsorted_datasets", "sorted_datasets", "coverage_warnings")})
+
+
+@query(f"""
+SELECT (SELECT count(*) FROM findings WHERE error) = 0 AS ok, '1970-01-01T00:00:00.000Z' AS checked_at, (SELECT count(DISTINCT dataset) FROM positional_manifest) AS dataset_count,
+(SELECT array_to_string(coalesce(list(e ORDER BY dataset, e), []), ',') FROM findings WHERE error) AS errors,
+(SELECT array_to_string(coalesce(list(e ORDER BY dataset, e), []), ',') FROM (SELECT dataset, e FROM findings WHERE NOT error UNION ALL SELECT dataset, warning FROM ({_COVERAGE}) WHERE audit_warns)) AS warnings,
+p.dataset, count(*) AS shards, p.dataset NOT IN (SELECT dataset FROM unsorted_lo) AS sorted, CAST(sum(p.size_bytes) AS BIGINT) AS shard_bytes, any_value(m.file) AS master_file, any_value(m.size_bytes) AS master_bytes
+FROM positional_manifest p LEFT JOIN masters m USING (dataset) GROUP BY p.dataset
+""")
+def audit_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit's document, read back; files of fewer than 2000 bytes count as missing."""
+    manifest, files = D.positional_manifest(spark, sf_dir).drop("size_bytes"), D.named_listing(spark, sf_dir)
+    errors = M.missing_files(manifest, files.filter("size_bytes >= 2000")).select("dataset", F.concat(F.lit("no such file: "), "full_path").alias("e"))
+    warnings = M.unsorted_audit(manifest).select("dataset", F.format_string(M.UNSORTED_MANIFEST, "dataset", "entry_no").alias("e")).unionByName(M.coverage(manifest, files).filter("audit_warns").select("dataset", F.col("warning").alias("e")))
+    said = M.audit_json(M.with_findings(M.audit_report(manifest, files), errors, warnings), 0)
+    kind = "ok boolean, checkedAt string, datasetCount bigint, errors array<string>, warnings array<string>, results array<struct<dataset: string, shards: bigint, sorted: boolean, shardBytes: bigint, sortedMaster: struct<file: string, sizeBytes: bigint>>>"
+    read = said.select(F.from_json("json", kind).alias("j")).select("j.*").select("*", F.explode("results").alias("r"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("errors", "warnings")]
+    return read.select("ok", F.col("checkedAt").alias("checked_at"), F.col("datasetCount").alias("dataset_count"), *joined, "r.dataset", "r.shards", "r.sorted", F.col("r.shardBytes").alias("shard_bytes"), F.col("r.sortedMaster.file").alias("master_file"), F.col("r.sortedMaster.sizeBytes").alias("master_bytes"))
+
+
+@query("""
+SELECT true AS ok, '1970-01-01T00:00:00.000Z' AS rebuilt_at, (SELECT count(DISTINCT dataset) FROM positional_manifest) AS dataset_count, dataset, count(*) AS shards FROM positional_manifest GROUP BY dataset
+""")
+def rebuild_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = D.positional_manifest(spark, sf_dir).groupBy("dataset").agg(F.count("*").alias("shards"))
+    report = M.rebuild_report(rebuilt, 0).select("*", F.explode("results").alias("r"))
+    return report.select("ok", F.col("rebuiltAt").alias("rebuilt_at"), F.col("datasetCount").alias("dataset_count"), "r.dataset", "r.shards")
+
+
+@query("""
+SELECT id, 0 AS step, CAST(NULL AS BOOLEAN) AS ok, CAST(NULL AS VARCHAR) AS file, CAST(NULL AS BIGINT) AS "offset", CAST(NULL AS BIGINT) AS line, CAST(NULL AS VARCHAR) AS source,
+  'No candidate shard matched the password range.' AS debug, CAST(NULL AS VARCHAR) AS candidates, CAST(NULL AS BOOLEAN) AS done, CAST(NULL AS INTEGER) AS exit_code
+FROM (SELECT md5(probe) AS id FROM probes) WHERE id NOT IN (SELECT id FROM told)
+UNION ALL SELECT id, 1, false, full_path, "offset", NULL, 'sorted', NULL, NULL, NULL, NULL FROM sorted_hits
+UNION ALL SELECT id, 2, NULL, NULL, NULL, NULL, NULL, 'searching ' || n || ' shards', candidates, NULL, NULL FROM told WHERE scans
+UNION ALL SELECT id, 3, false, full_path, NULL, line, NULL, NULL, NULL, NULL, NULL FROM lookup_hits
+UNION ALL SELECT md5(probe), 5, NULL, NULL, NULL, NULL, NULL, NULL, NULL, true,
+  CASE WHEN md5(probe) IN (SELECT id FROM told WHERE scans) THEN CASE WHEN md5(probe) IN (SELECT id FROM lookup_hits) THEN 0 ELSE 1 END END FROM probes
+""")
+def scan_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that the client of each probe is told, as read back from the events' JSON."""
+    index = durable(_word_index(spark, sf_dir))
+    probes = D.probes(spark, sf_dir).withColumn("id", F.md5(F.col("probe").cast("binary")))
+    met = durable(membership.candidates(probes, index).select("id", "probe", "kind", "dataset", "file", "full_path"))
+    counted = durable(D.words(spark, sf_dir).groupBy("dataset", "file", "line").agg(F.count("*").alias("n")).join(D.probes(spark, sf_dir).withColumnRenamed("probe", "line").withColumn("asked", F.lit(True)), "line", "left"))
+    whole = counted.groupBy("dataset", "line").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    offsets = running_before(whole, ["dataset"], ["line"], S.record_bytes("line") * F.col("n"), "offset").filter("asked")
+    lines = running_before(counted, ["dataset", "file"], ["line"], F.col("n"), "before").filter("asked").withColumn("line_no", F.col("before") + 1)
+    hit = lambda kind, places, on: met.filter(F.col("kind") == kind).join(places.withColumnRenamed("line", "probe"), [*on, "probe"])
+    sorted_hits = hit("sorted", offsets.select("dataset", "line", "offset"), ["dataset"]).select("id", "full_path", "offset")
+    lookup_hits = hit("lookup", lines.select("dataset", "file", "line", "line_no"), ["dataset", "file"]).select("id", "full_path", F.col("line_no").alias("line"))
+    told = lookups.scan_events(probes, met, sorted_hits, lookup_hits)
+    kind = "struct<type: string, " + ", ".join(f"{k}: {t}" for k, t in lookups.EVENT_FIELDS.items()) + ">"
+    e = told.select("step", F.from_json(lookups.to_message(F.col("event")), kind).alias("e")).select("step", "e.*")
+    listed = F.array_join(F.transform("candidates", lambda c: F.concat_ws("|", c["dataset"], c["file"], c["kind"])), ",").alias("candidates")
+    return e.select("id", "step", "ok", "file", "offset", "line", "source", "debug", listed, "done", F.col("exitCode").alias("exit_code"))
+
+
+@query("SELECT DISTINCT probe, dataset, file FROM probes JOIN words ON probe = line")
+def bloom_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold a probe: those that their filters pass, confirmed by the records."""
+    words = D.words(spark, sf_dir)
+    filters = durable(sketch.per_file(words, ["dataset", "file"], n=20_000))
+    passed = sketch.files_that_may_hold(filters, D.probes(spark, sf_dir), ["dataset", "file"])
+    records = words.select("dataset", "file", F.col("line").alias("probe"))
+    return records.join(passed, ["dataset", "file", "probe"], "left_semi").distinct().select("probe", "dataset", "file")
 
 
 @query("""
@@ -303,7 +394,7 @@ def bloom_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT md5(probe) AS id, dataset FROM probes JOIN (SELECT DISTINCT dataset, line FROM words) ON probe = line")
 def stream_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = lookups.shared_folder(spark)
+    folder = shared_folder(spark)
     D.probes(spark, sf_dir).select(F.md5(F.col("probe").cast("binary")).alias("id"), "probe").write.parquet(f"{folder}/probes")
     stream = spark.readStream.schema("id string, probe string").parquet(f"{folder}/probes")
-    return lookups.run_available(lookups.stream_hits(stream, D.words(spark, sf_dir), ["dataset"]), folder)
+    return lookups.run_available(lookups.stream_hits(stream, lookups.prepared(D.words(spark, sf_dir), ["dataset"]), ["dataset"]), folder)

@@ -28,6 +28,16 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("source").alias("dataset"), F.concat("lang", F.lit(".txt")).alias("file"), "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
 
 
+def line_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset, file, doc_id, first, last, last_full, records, size_bytes): what each document adds to its file.
+
+    A row a document, without the lines between.
+    """
+    d = table(spark, sf_dir, "documents").filter("text is not null").withColumn("ls", F.split("text", "\n", -1))
+    full = F.filter("ls", lambda x: x != "")
+    return d.select(F.col("source").alias("dataset"), F.concat("lang", F.lit(".txt")).alias("file"), "doc_id", F.get("ls", F.lit(0)).alias("first"), F.get("ls", F.size("ls") - 1).alias("last"), F.get(full, F.size(full) - 1).alias("last_full"), F.size("ls").cast("long").alias("records"), S.record_bytes("text").alias("size_bytes"))
+
+
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dataset, file, line): every word as a record; files are cut by the word's first character."""
     d = table(spark, sf_dir, "documents").filter("text is not null")
@@ -53,7 +63,7 @@ def range_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def positional_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(dataset, file, lo, hi, records, size_bytes, entry) of the lines' files, entries by file name."""
-    built = M.build(lines(spark, sf_dir), ["dataset", "file"], order())
+    built = M.merged_ends(line_ends(spark, sf_dir), ["dataset", "file"], "doc_id").select("dataset", "file", F.col("first_line").alias("lo"), F.col("last_line").alias("hi"), "records", "size_bytes")
     from pyspark.sql import Window
 
     return built.withColumn("entry", (F.row_number().over(Window.partitionBy("dataset").orderBy("file")) - 1).cast("long"))
@@ -64,8 +74,9 @@ def named_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One master is as large as half of the dataset, the other a byte more for datasets with an even number of lines.
     """
-    sizes = lines(spark, sf_dir).groupBy("dataset", "file").agg(F.sum(S.record_bytes("line")).cast("long").alias("size_bytes"))
-    whole = lines(spark, sf_dir).groupBy("dataset").agg(F.sum(S.record_bytes("line")).cast("long").alias("s"), F.count("*").alias("n"))
+    sizes = line_ends(spark, sf_dir).groupBy("dataset", "file").agg(F.sum("size_bytes").alias("size_bytes"), F.sum("records").alias("n"))
+    whole = sizes.groupBy("dataset").agg(F.sum("size_bytes").alias("s"), F.sum("n").alias("n"))
+    sizes = sizes.drop("n")
     half = F.floor(F.col("s") / 2).cast("long")
     one = whole.select("dataset", F.lit("all_sorted.txt").alias("file"), half.alias("size_bytes"))
     two = whole.select("dataset", F.lit("old_sorted.txt").alias("file"), (F.when(F.col("n") % 2 == 0, half + 1).otherwise(F.col("s") * 2)).cast("long").alias("size_bytes"))
@@ -117,6 +128,29 @@ counted AS (SELECT upper(sha1(line)) AS h, count(*) AS n FROM words GROUP BY lin
 file_names AS (
   SELECT DISTINCT dataset, unnest([dataset || '_' || k || '.txt', dataset || '_' || k || '.zip', k || '.7z', dataset || '_sorted.txt', dataset || '.txt', 'lookup.txt', 'part' || k || '_sorted.txt']) AS file
   FROM (SELECT DISTINCT source AS dataset, CAST(doc_id % 12 AS VARCHAR) AS k FROM documents)),
+there AS (SELECT * FROM named_listing WHERE size_bytes >= 2000),
+there_masters AS (
+  SELECT dataset, file, size_bytes FROM (
+    SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY size_bytes DESC, file DESC) AS k FROM there WHERE file LIKE '%.txt' AND contains(file, '_sorted')) WHERE k = 1),
+there_index AS (
+  SELECT 'sorted' AS kind, dataset, file FROM there_masters WHERE strlen(dataset) = 4
+  UNION ALL SELECT 'lookup', dataset, file FROM positional_manifest WHERE dataset NOT IN (SELECT dataset FROM there_masters WHERE strlen(dataset) = 4)),
+findings AS (
+  SELECT dataset, 'no such file: ' || dataset || '/' || file AS e, true AS error FROM positional_manifest WHERE size_bytes < 2000
+  UNION ALL SELECT dataset, dataset || '/lookup.txt is not sorted at entry ' || entry_no, false FROM unsorted_lo),
+word_candidates AS (SELECT md5(probe) AS id, probe, kind, dataset, file, full_path FROM probes JOIN index_ ON probe BETWEEN lo AND hi),
+word_counts AS (SELECT dataset, file, line, count(*) AS n FROM words GROUP BY dataset, file, line),
+word_offsets AS (
+  SELECT dataset, line, CAST(coalesce(sum((strlen(line) + 1) * n) OVER (PARTITION BY dataset ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM (SELECT dataset, line, sum(n) AS n FROM word_counts GROUP BY dataset, line)),
+word_lines AS (
+  SELECT dataset, file, line, CAST(coalesce(sum(n) OVER (PARTITION BY dataset, file ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS BIGINT) AS line_no
+  FROM word_counts),
+sorted_hits AS (SELECT c.id, c.full_path, o."offset" FROM word_candidates c JOIN word_offsets o ON c.kind = 'sorted' AND c.dataset = o.dataset AND c.probe = o.line),
+lookup_hits AS (SELECT c.id, c.full_path, l.line_no AS line FROM word_candidates c JOIN word_lines l ON c.kind = 'lookup' AND c.dataset = l.dataset AND c.file = l.file AND c.probe = l.line),
+told AS (
+  SELECT id, array_to_string(list(dataset || '|' || file || '|' || kind ORDER BY dataset, file, kind), ',') AS candidates, count(*) AS n, bool_or(kind = 'lookup') AS scans
+  FROM word_candidates GROUP BY id),
 offsets AS (
   SELECT dataset, line, n, CAST(coalesce(sum((strlen(line) + 1) * n) OVER (PARTITION BY dataset ORDER BY line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
   FROM (SELECT dataset, line, count(*) AS n FROM lines GROUP BY dataset, line))

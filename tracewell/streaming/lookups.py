@@ -6,16 +6,20 @@ text.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions import strings as S
+from tracewell.session import durable
 
 #: Columns of an event beyond its type and time; those without a value are left out of its JSON.
-EVENT_FIELDS = {"id": "string", "ok": "boolean", "count": "bigint", "file": "string", "offset": "bigint", "line": "bigint", "source": "string", "debug": "string", "error": "string", "done": "boolean"}
+EVENT_FIELDS = {
+    "id": "string", "ok": "boolean", "count": "bigint", "file": "string", "offset": "bigint", "line": "bigint", "source": "string", "debug": "string",
+    "candidates": "array<struct<dataset:string,file:string,kind:string>>", "error": "string", "done": "boolean", "exitCode": "int", "signal": "string",
+}
+# Texts of events that callers know.
+NO_CANDIDATE = "No candidate shard matched the password range."
+SCAN_START = "searching %d shards"
 
 
 def requests(messages: DataFrame, message: str = "value", id_col: str = "id") -> DataFrame:
@@ -23,10 +27,68 @@ def requests(messages: DataFrame, message: str = "value", id_col: str = "id") ->
     return messages.select(F.col(id_col).alias("id"), S.requested_text(message).alias("probe"))
 
 
+def first_messages(messages: DataFrame, at: str = "at", id_col: str = "id") -> DataFrame:
+    """The first message of each connection; a re-used id is a new connection only after it was closed.
+
+    messages, not streaming: id, at, value and, where the client went away, closed.  Later messages on an open
+    connection are of no effect.
+    """
+    closed = F.sum(F.col("closed").cast("int")).over(Window.partitionBy(id_col).orderBy(at).rowsBetween(Window.unboundedPreceding, -1))
+    named = messages.withColumn("closed", F.coalesce("closed", F.lit(False))).withColumn("connection", F.coalesce(closed, F.lit(0)).cast("long"))
+    asked = named.filter(~F.col("closed"))
+    return asked.groupBy(id_col, "connection").agg(F.min_by("value", at).alias("value"))
+
+
+def prepared(corpus: DataFrame, keep: list[str], record: str = "line") -> DataFrame:
+    """What streams are joined with: the corpus without repetitions, made once and not in every micro-batch."""
+    return durable(corpus.select(*keep, F.col(record).alias("__record")).distinct())
+
+
 def stream_hits(probes: DataFrame, corpus: DataFrame, keep: list[str], probe: str = "probe", record: str = "line") -> DataFrame:
-    """A row for each match of each streamed probe: the stream's other columns and `keep` of the corpus."""
-    static = corpus.select(*keep, F.col(record).alias("__record")).distinct()
-    return probes.join(static, F.col(probe) == F.col("__record")).drop("__record", probe)
+    """A row for each match of each streamed probe: the stream's other columns and `keep` of the corpus.
+
+    A micro-batch reads the prepared corpus past its probes, which are the smaller side.
+    """
+    static = corpus if "__record" in corpus.columns else prepared(corpus, keep, record)
+    return probes.join(static.select(*keep, "__record"), F.col(probe) == F.col("__record")).drop("__record", probe)
+
+
+def scan_events(probes: DataFrame, candidates: DataFrame, sorted_hits: DataFrame, lookup_hits: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """(id, step, event): what each probe's client is told, in order.
+
+    probes: id, probe.  candidates: id, kind, dataset, file, full_path.  sorted_hits: id, full_path, offset.
+    lookup_hits: id, full_path, line; those in a file that a sorted hit named are left out.  failures: id, error.
+
+    A probe without candidates gets a remark and the end.  Else come hits in masters, then, if there are shards to
+    scan, the list of all candidates, hits in shards, and the end with the scan's exit code: 0 if it found any, 1 if
+    none.  A failure comes before the end, which has exit code 2 then.  Lists have a row a file.
+    """
+    none = F.array().cast(EVENT_FIELDS["candidates"])
+    told = candidates.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("dataset", "file", "kind"))).alias("list"), F.max((F.col("kind") == "lookup").cast("int")).alias("scans"))
+    asked = probes.select("id").distinct().join(told, "id", "left").withColumn("list", F.coalesce("list", none)).withColumn("scans", F.coalesce("scans", F.lit(0)))
+    fresh_hits = lookup_hits.join(sorted_hits.select("id", "full_path").distinct(), ["id", "full_path"], "left_anti")
+    counted = fresh_hits.groupBy("id").agg(F.count("*").alias("n"))
+    said = lambda df, step, **fields: df.select("id", F.lit(step).alias("step"), event("update", id=F.col("id"), **fields).alias("event"))
+    parts = [
+        said(asked.filter(F.size("list") == 0), 0, debug=F.lit(NO_CANDIDATE)),
+        said(sorted_hits, 1, ok=F.lit(False), file=F.col("full_path"), offset=F.col("offset"), source=F.lit("sorted")),
+        said(asked.filter("scans = 1"), 2, debug=F.format_string(SCAN_START, F.size("list")), candidates=F.col("list")),
+        said(fresh_hits, 3, ok=F.lit(False), file=F.col("full_path"), line=F.col("line")),
+    ]
+    ended = asked.join(counted, "id", "left").withColumn("code", F.when(F.col("scans") == 1, F.when(F.col("n").isNotNull(), 0).otherwise(1)))
+    if failures is not None:
+        parts.append(said(failures, 4, error=F.col("error")))
+        ended = ended.join(failures.select("id", F.lit(True).alias("failed")).distinct(), "id", "left").withColumn("code", F.when(F.col("failed"), 2).otherwise(F.col("code")))
+    parts.append(said(ended, 5, done=F.lit(True), exitCode=F.col("code")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def with_end(hits: DataFrame, probes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Rows of a batch's hits and one more for each id, whose `done` is true and whose other columns are null."""
+    return hits.withColumn("done", F.lit(False)).unionByName(probes.select(id_col).distinct().withColumn("done", F.lit(True)), allowMissingColumns=True)
 
 
 def event(kind: str, **fields: Column) -> Column:
@@ -48,12 +110,6 @@ def open_only(events: DataFrame, closed: DataFrame, id_col: str = "id") -> DataF
     return events.join(closed.select(id_col), id_col, "left_anti")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see: under the session's checkpoint folder, or our own where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def run_available(results: DataFrame, path: str) -> DataFrame:
     """Run a streaming query over what there is now into Parquet, and return what it wrote."""
     query = results.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").outputMode("append").trigger(availableNow=True).start()
