@@ -351,18 +351,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str
 def _still_apart(hot: DataFrame, labels: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
     """(bucket, base, i, j, part, rep, label): classes of hot buckets that may be linked with one of another component.
 
-    hot: (bucket, rep).  No sets are looked at.  A class is copied for each part of its bucket, and again for the
-    length level below its own, with some 300 bytes; what it has no partner for ends here.
+    hot: (bucket, rep, size).  No sets are looked at.  A class is copied for each part of its bucket, and again for the
+    length level below its own, with some 300 bytes; what it has no partner for ends here.  Rows of a bucket never meet
+    but in blocks: how many parts it has follows from its size, which they know, and whether it holds several
+    components is told to all tasks, or beyond _SENT such buckets by a join that Spark can split.
     """
-    here = hot.join(labels, "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("label"))
-    apart = here.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket")
+    here = hot.join(labels, "rep", "left").select("bucket", "rep", "size", F.coalesce("component", "rep").alias("label"))
+    apart = durable(here.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket"))
+    apart = F.broadcast(apart) if apart.count() <= _SENT else rekeyed(apart, "bucket")
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / s.percent)) if s.percent < 100 else F.col("n")
-    rows = durable(rekeyed(here, "bucket").join(apart, "bucket", "left_semi").join(reps.select("rep", "n", "sig", "bands"), "rep").withColumn("level", level.cast("long")))
-    based = rows.withColumn("base", F.explode(F.array("level", F.col("level") - 1)))
-    cut = based.groupBy("bucket", "base").agg(F.ceil(F.count("*") / s.block_sets).cast("long").alias("parts"), F.min("label").alias("x"), F.max("label").alias("y"), F.min("level").alias("l"))
-    cut = cut.filter("x <> y and l = base").select("bucket", "base", "parts")
+    rows = here.join(apart, "bucket", "left_semi").join(reps.select("rep", "n", "sig", "bands"), "rep").withColumn("level", level.cast("long"))
+    based = rows.withColumn("base", F.explode(F.array("level", F.col("level") - 1))).withColumn("parts", F.ceil(F.col("size") / s.block_sets).cast("long"))
     blocks = (
-        based.join(rekeyed(cut, "bucket"), ["bucket", "base"]).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
+        based.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
         .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
         .select("bucket", "base", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "label", "level", "n", "sig", "bands")
     )
@@ -397,7 +398,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     member = reps.select("rep", F.explode("bands").alias("bucket"))  # a class has each bucket once
     counted = member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("least")).filter("size > 1")
-    met = durable(member.join(counted, "bucket"))
+    met = durable(member.join(rekeyed(counted, "bucket"), "bucket"))
     signatures = reps.select("rep", "n", "sig").dropDuplicates(["rep", "sig"])
     pairs = (
         met.filter(F.col("size") <= s.small).select("bucket", "rep").join(signatures, "rep")
@@ -422,7 +423,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     # what those links leave apart in the larger buckets
     if hot.limit(1).count():
-        live = durable(_still_apart(hot.select("bucket", "rep"), components(links).withColumnRenamed("node", "rep"), reps, s))
+        live = durable(_still_apart(hot, components(links).withColumnRenamed("node", "rep"), reps, s))
         more = live.select("rep").distinct().join(wanted, "rep", "left_anti")
         if live.limit(1).count():
             sets = sets.unionByName(_sets(docs, durable(more), signatures, id_col, text_col, s))
