@@ -62,3 +62,23 @@ def test_no_folder_of_our_own_on_a_cluster():
 
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_folder(Fake)
+
+
+def test_a_remote_service_is_asked_again_a_few_times(spark, tmp_path):
+    from tracewell.sources import range_store
+
+    folder = str(tmp_path)
+
+    def fetch(prefix):
+        import os
+
+        with open(os.path.join(folder, prefix), "a") as f:
+            f.write("x")
+        asked = os.path.getsize(os.path.join(folder, prefix))
+        if prefix == "86F7E":  # a: answers the second time
+            return (200, "437FAA5A7FCE15D1DDCB9EAEAEA377667B8:41\r\n") if asked > 1 else (503, "busy")
+        return (404, "") if prefix == "E9D71" else (500, "")
+
+    got = range_store.remote_counts(spark.createDataFrame([("a",), ("b",), ("c",), ("a",)], "probe string"), fetch)
+    assert sorted((r["probe"], r["count"], r["remote_status"]) for r in got.collect()) == [("a", 41, 200), ("a", 41, 200), ("b", 0, 404), ("c", 0, 500)]
+    assert {p.name: p.stat().st_size for p in tmp_path.iterdir()} == {"86F7E": 2, "E9D71": 1, "84A51": 3}

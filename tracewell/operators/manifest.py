@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions import strings as S
+from tracewell.operators.stretches import running_before
 
 
 # Texts of reports that callers know.
@@ -83,8 +84,8 @@ def effective(masters: DataFrame, lookups: DataFrame) -> DataFrame:
 
 
 def ordered(index: DataFrame) -> DataFrame:
-    """The index with its place by start, end and path.  An index has a row a file, so one task orders it."""
-    return index.withColumn("place", F.row_number().over(Window.orderBy("lo", "hi", "full_path")).cast("long"))
+    """The index with its place by start, end and path."""
+    return running_before(index, [], ["lo", "hi", "full_path"], F.lit(1), "place").withColumn("place", F.col("place") + 1)
 
 
 def unsorted_index(manifest: DataFrame) -> DataFrame:
