@@ -25,6 +25,9 @@ from tracewell.llm import textops as X
 from tracewell.llm.common import prepare, quoted
 
 START, END = "<|im_start|>", "<|im_end|>"
+#: Bytes that don't fit one Arrow string any more.
+_MOST = 1 << 31
+_TOO_LARGE = "a conversation of 2 GB or more does not fit one Arrow string"
 _FORMATTED = "conv_id long, formatted string, loss_starts array<int>, loss_ends array<int>"
 
 
@@ -82,16 +85,14 @@ def _conversations(ids: np.ndarray, roles: pa.Array, texts: pa.Array) -> pa.Reco
     out, begin, lo, hi = assemble(roles, texts)
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
     cuts = np.append(begin[first], begin[-1])
-    size = len(out)
     # spans are in characters: count the bytes that begin one
     points = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
     base = points[np.repeat(begin[first], np.diff(np.append(first, len(ids))))]
     loss = np.asarray(pa.compute.equal(roles, "assistant"))
     n = np.concatenate([[0], np.cumsum(np.add.reduceat(loss.astype(np.int64), first))])
-    offsets = pa.py_buffer(cuts.astype(np.int32)) if size < 2**31 else None
-    if offsets is None:
-        raise ValueError("a conversation of 2 GB or more does not fit one Arrow string")
-    text = pa.StringArray.from_buffers(len(first), offsets, pa.py_buffer(out))
+    if len(out) >= _MOST:
+        raise ValueError(_TOO_LARGE)
+    text = pa.StringArray.from_buffers(len(first), pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(out))
     spans = [pa.ListArray.from_arrays(pa.array(n, pa.int32()), pa.array((points[x] - base)[loss], pa.int32())) for x in (lo, hi)]
     return pa.RecordBatch.from_arrays([pa.array(ids[first]), text, *spans], names=["conv_id", "formatted", "loss_starts", "loss_ends"])
 
@@ -101,7 +102,8 @@ def formatted(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "t
     assistant's texts.
 
     A null text or role is empty.  Turns go by number, null first; of equal numbers, by role and text.  Repeated rows
-    are turns each.  Rows without conv_id make up one conversation, of null id.  Other columns are not looked at.
+    are turns each.  Rows without conv_id make up one conversation, of null id.  Other columns are not looked at; an
+    empty table gives none.  A conversation is one row, so one of 2 GB or more is an error that says so.
     """
     prepare(turns.sparkSession)
     c = lambda x: F.col(quoted(x))
@@ -129,6 +131,8 @@ def formatted(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "t
 
 def _made(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     t = pa.Table.from_batches([x for x in parts if x.num_rows])
+    if (pa.compute.sum(pa.compute.binary_length(t.column(2))).as_py() or 0) >= _MOST:
+        raise ValueError(_TOO_LARGE)
     ids, role, text = (t.column(i).combine_chunks() for i in range(3))
     ids, role, text = (x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in (ids, role, text))
     null = ids.null_count

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import base64
 import gc
+import json
 import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from dataclasses import fields
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,6 +77,28 @@ def fresh(prefix: str) -> str:
     return f"__{prefix}_{uuid.uuid4().hex[:8]}"
 
 
+def model_to_json(model) -> str:
+    """A fitted model, a dataclass of numbers, names and arrays, as text to be kept anywhere."""
+
+    def plain(x):
+        if isinstance(x, np.ndarray):
+            return {"kind": x.dtype.str, "shape": x.shape, "data": base64.b64encode(np.ascontiguousarray(x).tobytes()).decode()}
+        return x
+
+    return json.dumps({f.name: plain(getattr(model, f.name)) for f in fields(model)})
+
+
+def model_from_json(kind: type, text: str):
+    """A model of this class from what model_to_json gave."""
+
+    def back(x):
+        if isinstance(x, dict) and set(x) == {"kind", "shape", "data"}:
+            return np.frombuffer(base64.b64decode(x["data"]), x["kind"]).reshape(x["shape"]).copy()
+        return x
+
+    return kind(**{k: back(v) for k, v in json.loads(text).items()})
+
+
 def held_out(doc_id: Column | str) -> Column:
     """Rows that no model may learn from: crc32 of the id as text leaves remainder 2 by 4."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

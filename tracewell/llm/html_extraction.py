@@ -224,14 +224,16 @@ def main_texts(trees: list[dom.Tree], model: Model, least: float = 0.5) -> list[
     return out
 
 
-def extract(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None, labelled: list[str] | None = None, training_pages: int = 200) -> tuple[DataFrame, str]:
+def extract(pages: DataFrame, *, html_col: str = "html", keep: list[str] | None = None, labelled: list[str] | None = None, training_pages: int = 200, model: Model | None = None) -> tuple[DataFrame, str]:
     """The columns `keep` of pages with a struct column of `text`, the main text, and `n_chars`.
 
-    labelled: pages with data-content marks to learn from; else training_pages made-up ones, always the same.
+    model: one fitted before; else labelled, pages with data-content marks to learn from; else training_pages made-up
+    ones, always the same.
     A null or empty page, and a page without main text, gives an empty text.  White space inside a block becomes one
     space; blocks go in page order, a line each.  Repeated rows are read each; other columns stay as they are.
     """
-    model = fit(labelled) if labelled is not None else made_up_model(training_pages)
+    if model is None:
+        model = fit(labelled) if labelled is not None else made_up_model(training_pages)
     sent = pages.sparkSession.sparkContext.broadcast(model)
 
     def run(html):

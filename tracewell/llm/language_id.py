@@ -220,18 +220,20 @@ def predict(texts: pa.Array, m: Model, s: Settings) -> tuple[list[str], np.ndarr
     return [names[k] for k in best.tolist()], np.where(g.lettered, p.max(1), 0.0)
 
 
-def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, settings: Settings = Settings()) -> tuple[DataFrame, str]:
-    """The columns `keep` of docs with a struct column of lang_pred and score, by a model learned from docs.
+def mark(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None, settings: Settings = Settings(), model: Model | None = None) -> tuple[DataFrame, str]:
+    """The columns `keep` of docs with a struct column of lang_pred and score, by a model learned from docs, or one given.
 
     A null text, one without a letter, and any text where nothing could be learned is `und` at score 0.  Ties go to the
     language first by name.  Repeated rows are predicted each; other columns stay as they are; an empty table gives an
     empty one.  A language none of whose rows falls into the sample has no weights but its bias.
     """
     s = settings
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, settings=s))
+    if model is None:
+        model = fit(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, settings=s)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(texts):
-        names, scores = predict(texts, model.value, s)
+        names, scores = predict(texts, sent.value, s)
         return [pa.array(names, pa.string()), scores]
 
     return annotate(docs, [text_col], run, "lang_pred string, score double", list(docs.columns if keep is None else keep))

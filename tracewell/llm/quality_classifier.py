@@ -276,21 +276,23 @@ def score_numbers(x: np.ndarray, m: Model | None) -> np.ndarray:
     return _sigmoid(_expand(x, m.edges, m.mean, m.scale) @ m.weights + m.bias)
 
 
-def mark(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, settings: Settings = Settings()) -> tuple[DataFrame, str]:
-    """The columns `keep` of docs with a struct column of `score`, the probability of good quality.
+def mark(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, settings: Settings = Settings(), model: Model | None = None) -> tuple[DataFrame, str]:
+    """The columns `keep` of docs with a struct column of `score`, the probability of good quality, by a model learned
+    from docs and labels, or one given.
 
     A null text is scored as the empty one.  Where nothing can be learned (a few positives at most, no texts) all
     scores are 0.5.  Ids that labels repeat count once, positive if any is.  Repeated rows are scored each; other
     columns stay; an empty table gives an empty one.  If the text isn't kept, each is read once.
     """
     keep = list(docs.columns if keep is None else keep)
-    if text_col in keep:
-        model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col=id_col, text_col=text_col, settings=settings))
-        return annotate(docs, [text_col], lambda texts: [score_numbers(style(texts), model.value)], "score double", keep)
+    context = docs.sparkSession.sparkContext
+    if text_col in keep or model is not None:
+        sent = context.broadcast(model or fit(docs, labels, id_col=id_col, text_col=text_col, settings=settings))
+        return annotate(docs, [text_col], lambda texts: [score_numbers(style(texts), sent.value)], "score double", keep)
     numbers, x = _numbers(docs, text_col, list(dict.fromkeys([*keep, id_col])))
     numbers = durable(numbers)
-    model = docs.sparkSession.sparkContext.broadcast(_fit(numbers, labels, id_col, x, id_col, "quality", settings))
-    return annotate(numbers, [x], lambda rows: [score_numbers(_matrix(rows), model.value)], "score double", keep)
+    sent = context.broadcast(_fit(numbers, labels, id_col, x, id_col, "quality", settings))
+    return annotate(numbers, [x], lambda rows: [score_numbers(_matrix(rows), sent.value)], "score double", keep)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
