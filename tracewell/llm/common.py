@@ -21,7 +21,7 @@ from pyspark.sql.types import StructField, StructType
 
 #: Rows and bytes of one Arrow batch handed to Python; a single larger row still makes a batch of its own.
 BATCH_ROWS = 1024
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -82,7 +82,7 @@ class Tokenizer:
     def _forget(self) -> None:
         self.key = np.zeros(1 << _SLOT_BITS, np.uint64)
         self.at = np.full(1 << _SLOT_BITS, -1, np.int64)
-        self.known: dict[int, int] = {}
+        self.known, self.known_at = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes, ascending, and pieces' numbers
         self.pool = np.zeros(1 << 20, np.uint32)
         self.begin = np.zeros(1 << 16, np.int64)
         self.used = 0
@@ -124,14 +124,14 @@ class Tokenizer:
         miss = np.flatnonzero(which < 0)
         if len(miss):
             u, one, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
-            keys = u.tolist()
-            new = [i for i, k in enumerate(keys) if k not in self.known]
-            if new:
+            place = np.searchsorted(self.known, u)
+            new = np.flatnonzero(self.known[np.minimum(place, len(self.known) - 1)] != u) if len(self.known) else np.arange(len(u))
+            if len(new):
                 at = miss[one[new]]
                 made = self.made.encode_batch_fast([cp[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)], add_special_tokens=False)
-                at = self._grow([x.ids for x in made], raw, begins[at], stops[at])
-                self.known.update((keys[i], at + k) for k, i in enumerate(new))
-            found = np.array([self.known[k] for k in keys], np.int64)
+                first_new = self._grow([x.ids for x in made], raw, begins[at], stops[at])
+                self.known, self.known_at = np.insert(self.known, place[new], u[new]), np.insert(self.known_at, place[new], first_new + np.arange(len(new)))
+            found = self.known_at[np.searchsorted(self.known, u)]
             which[miss] = found[inverse]
             into = (u >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
             self.key[into], self.at[into] = u, found
