@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import gc
 import json
 import tempfile
@@ -112,6 +113,14 @@ def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def tidy() -> None:
+    """Give memory that a task no longer needs back to the system, as workers live on and share an executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """mapInArrow, a batch at a time, without a shuffle."""
 
@@ -119,6 +128,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
+        tidy()
 
     return df.mapInArrow(run, schema)
 
@@ -155,6 +165,7 @@ def annotate(df: DataFrame, inputs: list[str], function: Callable[..., list], fi
             found = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, (_, t) in zip(found, into, strict=True)]
             struct = pa.StructArray.from_arrays(found, names=[n for n, _ in into])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in plain), struct], names=[*plain, name])
+        tidy()
 
     return source.mapInArrow(run, schema).toDF(*keep, name), name
 

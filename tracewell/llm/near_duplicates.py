@@ -37,6 +37,7 @@ from tracewell.llm.graph import components
 from tracewell.operators import sketch
 
 _NIBBLE = np.uint64(0x1111111111111111)
+_LANES = np.arange(16, dtype=np.uint64) * np.uint64(4)
 _SEED = np.uint64(0xD1B54A32D192ED03)
 #: Up to this many candidate documents are found again in the texts behind a Bloom filter, of some 8 MB then.
 _FILTERED = 1 << 23
@@ -196,6 +197,16 @@ def _signature_rows(column: pa.Array) -> np.ndarray:
     return raw[offs[0] : offs[-1]].view(np.uint64).reshape(len(column), -1)
 
 
+def _most_common(sig: np.ndarray) -> np.ndarray:
+    """What most rows have in each lane."""
+    n = 16 * sig.shape[1]
+    counts = np.zeros(16 * n, np.int64)
+    for lo in range(0, len(sig), 1024):
+        lanes = ((sig[lo : lo + 1024, :, None] >> _LANES) & np.uint64(15)).reshape(-1, n).astype(np.int64)
+        counts += np.bincount((lanes + 16 * np.arange(n)).reshape(-1), minlength=16 * n)
+    return counts.reshape(n, 16).argmax(1).astype(np.uint64)
+
+
 def hub_of(n: np.ndarray, sig: np.ndarray, s: Settings) -> np.ndarray:
     """For each row the hub that it is most like, -1 for none; there are `hubs` at most, one after another.
 
@@ -207,9 +218,8 @@ def hub_of(n: np.ndarray, sig: np.ndarray, s: Settings) -> np.ndarray:
     for _ in range(s.hubs):
         if len(left) < 2:
             break
-        lanes = ((sig[left, :, None] >> (np.arange(16, dtype=np.uint64) * np.uint64(4))) & np.uint64(15)).reshape(len(left), -1).astype(np.int64)
-        most = np.bincount((lanes + 16 * np.arange(lanes.shape[1])).reshape(-1), minlength=16 * lanes.shape[1]).reshape(-1, 16).argmax(1)
-        hub = left[(lanes == most).sum(1).argmax()]
+        usual = np.bitwise_or.reduce(_most_common(sig[left]).reshape(-1, 16) << _LANES, axis=1)
+        hub = left[match_counts(sig[left], usual).argmax()]
         like = np.where(s.alike(n, n[hub]), estimate(match_counts(sig, sig[hub]), s), 0)
         like[hub] = 0
         at = np.flatnonzero(like >= best)

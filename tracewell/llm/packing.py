@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import textops as X
-from tracewell.llm.common import prepare, quoted
+from tracewell.llm.common import prepare, quoted, tidy
 from tracewell.llm.tokens import text_list, tokenizer
 
 #: Ids held at a time while pieces are written.
-_CHUNK_IDS = 1 << 20
+_CHUNK_IDS = 1 << 18
 
 
 def decompose(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -80,6 +80,7 @@ def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols], names=names)
                 lo = hi
+        tidy()
 
     kind = docs.schema[id_col].dataType.simpleString()
     made = docs.select(F.col(quoted(id_col)).alias("doc_id"), quoted(text_col)).mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, offset long, bucket int" + ", ids array<int>" * with_ids)

@@ -19,6 +19,7 @@ from tracewell.llm import textops as X
 
 _SLOT_BITS = 20
 _MOST_PIECES = 500_000
+_CHARS = 500_000
 _LATIN = 0x250
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = range(5)
 
@@ -150,11 +151,11 @@ class Tokenizer:
         return ids, total[np.searchsorted(starts, first)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids end to end, where each text's begin); texts go through a few million characters at a time."""
+        """(ids end to end, where each text's begin); texts go through _CHARS characters at a time."""
         parts, sizes, lo = [], np.zeros(len(texts), np.int64), 0
         while lo < len(texts):
             hi, n = lo, 0
-            while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= 2_000_000):
+            while hi < len(texts) and (hi == lo or n + len(texts[hi]) <= _CHARS):
                 n += len(texts[hi])
                 hi += 1
             some = texts[lo:hi]
