@@ -9,8 +9,8 @@
 4. Larger buckets are linked in two steps.  First each of their classes is paired with one other, in `chosen` of its
    buckets: with a hub of the bucket, a class whose signature is nearest to what most have in each place, or else with
    the nearest class before it, in order of set sizes, that looks alike.  What those pairs link is most of a group of
-   copies.  Then only buckets that still hold several components are compared whole, each by
-   itself, in blocks of bounded size: signatures alone tell which classes have a partner in another component at all,
+   copies.  Then only buckets that still hold several components are looked at again, each by itself: classes that
+   aren't of its largest component are compared with all, in blocks of bounded size.  Signatures alone tell which classes have a partner in another component at all,
    and sets are only brought together for those, in tasks that emit a spanning forest of the links they find.
 5. Links, all confirmed by exact intersection of the full sets, give connected components.
 
@@ -270,23 +270,18 @@ def _partners(batches: Iterator[pa.RecordBatch], s: Settings) -> Iterator[pa.Rec
         held = [rows.slice(int(cuts[-1]))] if cuts[-1] < rows.num_rows else []
 
 
-def live_rows(bucket: np.ndarray, level: np.ndarray, base: int, part: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, bands: np.ndarray, s: Settings) -> np.ndarray:
-    """Which classes of a pair of blocks have one in the other block, of another component, that may be linked.
+def live_rows(bucket: int, side: np.ndarray, label: np.ndarray, n: np.ndarray, sig: np.ndarray, bands: np.ndarray, s: Settings) -> np.ndarray:
+    """Which rows of a pair of blocks have one on the other side, of another component, that may be linked.
 
-    A pair is looked at where its sizes' lower level is `base`, and in the first bucket that it shares.
+    A pair is looked at in the first bucket that it shares.
     """
     out = np.zeros(len(n), bool)
-    two = part.min() != part.max()
-    for i in range(len(n) - 1):
-        j = np.arange(i + 1, len(n))
-        ok = (label[j] != label[i]) & (np.minimum(level[j], level[i]) == base) & s.alike(n[j], n[i])
-        if two:
-            ok &= part[j] != part[i]
-        j = j[ok]
+    here, there = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    for i in here.tolist():
+        j = there[(label[there] != label[i]) & s.alike(n[there], n[i])]
         j = j[estimate(match_counts(sig[j], sig[i]), s) >= s.least_estimate]
         if len(j):
-            shared = bands[j] == bands[i]
-            j = j[bands[i][shared.argmax(1)] == bucket[i]]
+            j = j[bands[i][(bands[j] == bands[i]).argmax(1)] == bucket]
             out[j] = True
             out[i] |= len(j) > 0
     return out
@@ -359,34 +354,35 @@ def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str
 
 
 def _still_apart(hot: DataFrame, labels: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
-    """(bucket, base, i, j, part, rep, label): classes of hot buckets that may be linked with one of another component.
+    """(bucket, i, j, side, rep, label): classes of hot buckets that may be linked with one of another component.
 
-    hot: (bucket, rep, size).  No sets are looked at.  A class is copied for each part of its bucket, and again for the
-    length level below its own, with some 300 bytes; what it has no partner for ends here.  Rows of a bucket never meet
-    but in blocks: how many parts it has follows from its size, which they know, and whether it holds several
-    components is told to all tasks, or beyond _SENT such buckets by a join that Spark can split.
+    hot: (bucket, rep, size).  No sets are looked at.  Most classes of a bucket are of one component by now, so it is
+    the others that are compared with all: in a bucket of m classes, k of other components, the others are cut into
+    k / block_sets blocks and all into m / block_sets, and each class is copied for each block that it meets, with some
+    300 bytes.  Rows of a bucket never meet but in blocks; what they must know of it is told to all tasks, or beyond
+    _SENT buckets by a join that Spark can split.
     """
     here = hot.join(labels, "rep", "left").select("bucket", "rep", "size", F.coalesce("component", "rep").alias("label"))
-    apart = durable(here.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("bucket"))
+    counted = here.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    apart = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("all")).filter(F.col("all") > F.col("most.c"))
+    apart = durable(apart.select("bucket", F.col("most.label").alias("major"), F.ceil((F.col("all") - F.col("most.c")) / s.block_sets).cast("long").alias("others"), F.ceil(F.col("all") / s.block_sets).cast("long").alias("blocks")))
     apart = F.broadcast(apart) if apart.count() <= _SENT else rekeyed(apart, "bucket")
-    level = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / s.percent)) if s.percent < 100 else F.col("n")
-    rows = here.join(apart, "bucket", "left_semi").join(reps.select("rep", "n", "sig", "bands"), "rep").withColumn("level", level.cast("long"))
-    based = rows.withColumn("base", F.explode(F.array("level", F.col("level") - 1))).withColumn("parts", F.ceil(F.col("size") / s.block_sets).cast("long"))
-    blocks = (
-        based.withColumn("part", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("parts")))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("other"))
-        .select("bucket", "base", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "rep", "label", "level", "n", "sig", "bands")
-    )
+    rows = here.drop("size").join(apart, "bucket").join(reps.select("rep", "n", "sig", "bands"), "rep")
+    where = lambda k: F.pmod(F.xxhash64("rep", F.lit(7)), F.col(k))
+    each = lambda k: F.sequence(F.lit(0).cast("long"), F.col(k) - 1)
+    minor = F.transform(F.when(F.col("label") != F.col("major"), each("blocks")).otherwise(F.array().cast("array<long>")), lambda j: F.struct(F.lit(0).alias("side"), where("others").alias("i"), j.alias("j")))
+    all_ = F.transform(each("others"), lambda i: F.struct(F.lit(1).alias("side"), i.alias("i"), where("blocks").alias("j")))
+    blocks = rows.select("bucket", "rep", "label", "n", "sig", "bands", F.explode(F.concat(minor, all_)).alias("at")).select("bucket", "at.i", "at.j", "at.side", "rep", "label", "n", "sig", "bands")
 
     def live(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         col = lambda name: t.column(name).to_numpy()
         bands = t.column("bands").combine_chunks()
         bands = np.asarray(bands.values)[bands.offsets[0].as_py() :].reshape(t.num_rows, -1)
-        on = live_rows(col("bucket"), col("level"), t.column("base")[0].as_py(), col("part"), col("label"), col("n"), _signature_rows(t.column("sig").combine_chunks()), bands, s)
-        return t.select(["bucket", "base", "i", "j", "part", "rep", "label"]).filter(pa.array(on))
+        on = live_rows(t.column("bucket")[0].as_py(), col("side"), col("label"), col("n"), _signature_rows(t.column("sig").combine_chunks()), bands, s)
+        return t.select(["bucket", "i", "j", "side", "rep", "label"]).filter(pa.array(on))
 
-    return blocks.groupBy("bucket", "base", "i", "j").applyInArrow(live, "bucket long, base long, i long, j long, part long, rep long, label long")
+    return blocks.groupBy("bucket", "i", "j").applyInArrow(live, "bucket long, i long, j long, side int, rep long, label long")
 
 
 def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -441,10 +437,10 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             def forest(t: pa.Table) -> pa.Table:
                 lists = t.column("set").combine_chunks()
                 flat, offs = np.asarray(lists.values).view(np.uint64), np.asarray(lists.offsets)
-                found = block_links(t.column("rep").to_numpy(), t.column("part").to_numpy(), _signature_rows(t.column("sig").combine_chunks()), [flat[x:y] for x, y in zip(offs[:-1], offs[1:], strict=True)], s, t.column("label").to_numpy())
+                found = block_links(t.column("rep").to_numpy(), t.column("side").to_numpy(), _signature_rows(t.column("sig").combine_chunks()), [flat[x:y] for x, y in zip(offs[:-1], offs[1:], strict=True)], s, t.column("label").to_numpy())
                 return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())})
 
-            links = links.unionByName(live.join(sets, "rep").groupBy("bucket", "base", "i", "j").applyInArrow(forest, "u long, v long"))
+            links = links.unionByName(live.join(sets, "rep").groupBy("bucket", "i", "j").applyInArrow(forest, "u long, v long"))
     found = components(durable(links))
     named = reps.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
