@@ -24,7 +24,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """df, computed once and kept where a lost executor costs nothing, with nothing of its plan."""
+    """df, computed once and kept where a lost executor costs nothing.
+
+    Only its rows are kept: a checkpoint hands on what its plan was thought to weigh, and rounds of joins would multiply
+    that until the numbers have millions of digits.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_base(df.sparkSession))
