@@ -6,12 +6,9 @@ import base64
 import ctypes
 import gc
 import json
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import fields
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
+from tracewell.session import durable, ship
+
+__all__ = ["annotate", "durable", "fresh", "held_out", "map_batches", "model_from_json", "model_to_json", "prepare", "quoted", "rekeyed", "release", "strings", "table", "tidy"]
+
 #: Rows and bytes of one Arrow batch handed to Python; a single larger row still makes a batch of its own.
 BATCH_ROWS = 1024
 BATCH_BYTES = 2 << 20
@@ -29,19 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the executors, once a context; they need not have it installed."""
-    context, root = spark.sparkContext, Path(__file__).parents[1]
-    if not root.is_dir() or getattr(context, "_tracewell_shipped", False):
-        return
-    made = Path(tempfile.mkdtemp()) / "tracewell_code.zip"  # the driver serves it
-    with zipfile.ZipFile(made, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f.relative_to(root.parent))
-    context.addPyFile(str(made))
-    context._tracewell_shipped = True
-
-
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that a worker's memory doesn't depend on how rows are laid out."""
     ship(spark)
@@ -49,24 +37,6 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of spark.checkpoint.dir.
-
-    Where none is set, a folder of our own will do only if driver and executors are one process.  What is kept of df is
-    its rows alone: a checkpoint hands on what its plan was thought to weigh, and rounds of joins would multiply that
-    until the numbers have millions of digits.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp())
-    kept = df.checkpoint(eager=True)
-    made = df.sparkSession._jsparkSession.internalCreateDataFrame(kept._jdf.queryExecution().toRdd(), kept._jdf.schema(), False)
-    return DataFrame(made, df.sparkSession)
-
-
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of results that nothing refers to any more."""
     gc.collect()

@@ -22,7 +22,6 @@ reaches the driver but the sizes of tables.
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
