@@ -82,3 +82,16 @@ def test_a_remote_service_is_asked_again_a_few_times(spark, tmp_path):
     got = range_store.remote_counts(spark.createDataFrame([("a",), ("b",), ("c",), ("a",)], "probe string"), fetch)
     assert sorted((r["probe"], r["count"], r["remote_status"]) for r in got.collect()) == [("a", 41, 200), ("a", 41, 200), ("b", 0, 404), ("c", 0, 500)]
     assert {p.name: p.stat().st_size for p in tmp_path.iterdir()} == {"86F7E": 2, "E9D71": 1, "84A51": 3}
+
+
+def test_results_that_are_no_more_needed_go(spark):
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    first = session.kept_so_far(spark)
+    one = session.durable(spark.range(10))
+    two = session.durable(one.filter("id > 5"))
+    files = [Path(urlparse(f).path) for f in session._files(spark)[first:]]
+    assert len(files) == 2 and all(f.exists() for f in files)
+    session.drop_kept(spark, first, session.kept_so_far(spark) - 1)
+    assert [f.exists() for f in files] == [False, True] and two.count() == 4

@@ -33,10 +33,36 @@ def durable(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(_base(df.sparkSession))
     kept = df.checkpoint(eager=True)
+    file = kept._jdf.logicalPlan().rdd().getCheckpointFile()
+    if file.isDefined():
+        _files(df.sparkSession).append(file.get())
     made = df.sparkSession._jsparkSession.internalCreateDataFrame(kept._jdf.queryExecution().toRdd(), kept._jdf.schema(), False)
     return DataFrame(made, df.sparkSession)
 
 
+def _files(spark: SparkSession) -> list[str]:
+    """Where this context's results are kept, in the order they were made."""
+    context = spark.sparkContext
+    if not hasattr(context, "_tracewell_kept"):
+        context._tracewell_kept = []
+    return context._tracewell_kept
+
+
+def kept_so_far(spark: SparkSession) -> int:
+    """How many results have been kept."""
+    return len(_files(spark))
+
+
+def drop_kept(spark: SparkSession, first: int, last: int) -> None:
+    """Delete the results from the first to before the last, by the order they were made; nothing may need them any more."""
+    files = _files(spark)
+    for i in range(first, last):
+        if files[i]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[i])
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            files[i] = ""
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's code to the executors, once a context; they need not have it installed."""
     context, root = spark.sparkContext, Path(__file__).parent
