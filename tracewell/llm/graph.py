@@ -24,7 +24,7 @@ def _stars(edges: DataFrame, large: bool, tasks: int, most: int | None = None) -
     if most is None:
         met = both.join(least.select("u", "m"), "u")
     else:  # there are at most 2 n / most hubs, so they go to the edges; the others' edges meet them
-        least = durable(least)
+        least = durable(least.coalesce(tasks))
         hubs = least.filter(F.col("n") > most).select("u", F.col("m").alias("hub"))
         told = both.join(F.broadcast(hubs), "u", "left")
         met = told.filter("hub is not null").withColumnRenamed("hub", "m").unionByName(told.filter("hub is null").drop("hub").join(least.select("u", "m"), "u"))

@@ -34,6 +34,7 @@ from tracewell.llm import textops as X
 from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, release, strings
 from tracewell.llm.graph import components
 from tracewell.operators import sketch
+from tracewell.session import drop_kept, kept_so_far
 
 _NIBBLE = np.uint64(0x1111111111111111)
 _LANES = np.arange(16, dtype=np.uint64) * np.uint64(4)
@@ -459,8 +460,10 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.filter(named).withColumn(here, F.xxhash64(F.col(quoted(id_col)).cast("long"), F.coalesce(F.col(quoted(text_col)), F.lit(""))))
     edges = None
     for s in rules:
+        first = kept_so_far(docs.sparkSession)
         found = durable(classes(rows, id_col=here, text_col=text_col, settings=s).filter("not kept").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).distinct())
         edges = found if edges is None else edges.unionByName(found)
+        drop_kept(docs.sparkSession, first, kept_so_far(docs.sparkSession) - 1)  # all that led to found
         release(docs.sparkSession)
     linked = components(edges)
     counted = rows.groupBy(F.col(here).alias("node")).agg(F.min(F.col(quoted(id_col)).cast("long")).alias("id"), F.count("*").alias("n"))
