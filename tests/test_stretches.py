@@ -68,6 +68,32 @@ def test_one_common_beginning_is_dealt_to_all_tasks(spark, tasks):
     assert tuple(got) == (22 * 19_999, 20_000)
 
 
+def _masters(spark):
+    """Records of two masters, by text, and their bytes."""
+    r = random.Random(5)
+    rows = [(d, "x" * r.randint(0, 9) + str(r.randint(0, 300))) for d in ("a", "b") for _ in range(1500)]
+    raw = {d: "".join(f"{w}\n" for k, w in sorted(rows) if k == d).encode() for d in ("a", "b")}
+    at = spark.createDataFrame([(d, p) for d in raw for p in range(0, len(raw[d]), 3)], "d string, position long")
+    return membership.master_offsets(spark.createDataFrame(rows, "d string, line string"), ["d"]), raw, at
+
+
+def test_sums_and_neighbours_in_a_union(spark, tasks):
+    other = spark.range(0, 3000, 1, 5)
+    summed = stretches.running_before(spark.range(3000).withColumn("k", F.col("id") % 2), ["k"], ["id"], F.lit(1), "before")
+    got = other.select("id", (F.col("id") - 5000).alias("before")).unionByName(summed.select("id", "before")).filter("before >= 0").collect()
+    assert {x["id"]: x["before"] for x in got} == {i: i // 2 for i in range(3000)}
+    right = spark.range(0, 3000, 100).select("id", F.col("id").alias("found"))
+    near = stretches.nearest(spark.range(3000), right, [], "id", ["found"])
+    got = other.select("id", (F.col("id") - 5000).alias("found")).unionByName(near).filter("found is null or found >= 0").collect()
+    assert {x["id"]: x["found"] for x in got} == {i: i // 100 * 100 for i in range(3000)}
+
+
+def test_lines_at_places_of_masters_in_many_stretches(spark, tasks):
+    masters, raw, at = _masters(spark)
+    got = {(x["d"], x["position"]): x["line_offset"] for x in membership.line_at(masters, at, ["d"]).collect()}
+    assert got == {(d, p): raw[d].rfind(b"\n", 0, p) + 1 for d in raw for p in range(0, len(raw[d]), 3)}
+
+
 def test_lines_that_start_at_a_place(spark):
     masters = membership.master_offsets(spark.createDataFrame([("d", w) for w in ("aa", "aa", "b", "", "\u00e9e")], "d string, line string"), ["d"])
     raw = "\naa\naa\nb\n\u00e9e\n".encode()

@@ -2,6 +2,7 @@
 
 Rows are dealt by ranges of the order, so each task has a stretch of it, and are checkpointed then, so stretches stay
 what they are.  What a task must know of the stretches before its own is one row of each, which goes by the driver.
+A row carries its stretch's number: in a union, or after a coalesce, a task's own number is another.
 No row is copied, and one shuffle is all.  Within a task rows are worked on a batch at a time.
 """
 
@@ -12,7 +13,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +20,13 @@ from tracewell.session import durable, ship
 
 
 def _dealt(rows: DataFrame, by: list[Column], within: list[Column]) -> DataFrame:
+    """rows by ranges of their order, each with the number of its stretch in a last column, __part."""
     ship(rows.sparkSession)
-    return durable(rows.repartitionByRange(*by).sortWithinPartitions(*by, *within))
+    return durable(rows.repartitionByRange(*by).sortWithinPartitions(*by, *within).withColumn("__part", F.spark_partition_id()))
 
 
-def _part() -> int:
-    return TaskContext.get().partitionId()
+def _part(b: pa.RecordBatch) -> int:
+    return b.column(b.num_columns - 1)[0].as_py()
 
 
 def _begins(keys: list[pa.Array]) -> np.ndarray:
@@ -61,19 +62,20 @@ def running_before(rows: DataFrame, keys: list[str], order: list[str], weight: C
     dealt = _dealt(plain, [F.col(c) for c in [*keys, *order]], [])
 
     def groups(b: pa.RecordBatch) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
-        along = b.column(b.num_columns - 1)
+        along = b.column(b.num_columns - 2)
         key = [along.field(i) for i in range(n)]
         begins = _begins(key) if n else np.zeros(b.num_rows, bool)
         begins[0] = True
         return key, np.flatnonzero(begins), np.asarray(along.field(n).fill_null(0)).astype(np.int64)
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
+        first = last = part = None
         total, one = 0, True
         for b in batches:
             if not b.num_rows:
                 continue
             key, at, w = groups(b)
+            part = _part(b)
             sums = np.add.reduceat(w, at)
             for i, s in ((0, sums[0]), (-1, sums[-1])) if len(at) > 1 else ((0, sums[0]),):
                 k = tuple(x[int(at[i])].as_py() for x in key)
@@ -82,7 +84,7 @@ def running_before(rows: DataFrame, keys: list[str], order: list[str], weight: C
                     one, total = last is None, 0
                 last, total = k, total + int(s)
         if first is not None:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([_part()], pa.int32()), "first": pa.array([repr(first)]), "last": pa.array([repr(last)]), "total": pa.array([total], pa.int64()), "one": pa.array([one])})
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "first": pa.array([repr(first)]), "last": pa.array([repr(last)]), "total": pa.array([total], pa.int64()), "one": pa.array([one])})
 
     # one row a task
     found = sorted(dealt.mapInArrow(ends, "part int, first string, last string, total long, one boolean").collect())
@@ -94,18 +96,20 @@ def running_before(rows: DataFrame, keys: list[str], order: list[str], weight: C
     sent = rows.sparkSession.sparkContext.broadcast(carried)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, last = sent.value.get(_part(), 0), None
+        before = last = None
         for b in batches:
             if not b.num_rows:
                 continue
             key, at, w = groups(b)
-            if last is not None and last != tuple(x[0].as_py() for x in key):
+            if last is None:
+                before = sent.value[_part(b)]
+            elif last != tuple(x[0].as_py() for x in key):
                 before = 0
             sums = np.cumsum(w) - w
             sums -= np.repeat(sums[at], np.diff(np.append(at, len(w))))
             sums[: at[1] if len(at) > 1 else len(w)] += before
             before, last = int(sums[-1] + w[-1]), tuple(x[b.num_rows - 1].as_py() for x in key)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sums)], names=[*columns, name])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(sums)], names=[*columns, name])
 
     return _named(dealt, columns, run, [(name, "long")])
 
@@ -130,7 +134,7 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, payload
     both = one.unionByName(two, allowMissingColumns=True)
     place = F.col(f"k{n}").desc() if after else F.col(f"k{n}").asc()
     dealt = _dealt(both, [*(F.col(f"k{i}") for i in range(n)), place], [F.col("side")])
-    dealt = dealt.select(*(f"k{i}" for i in range(n)), "asks", "told", "row")
+    dealt = dealt.select(*(f"k{i}" for i in range(n)), "asks", "told", "row", "__part")
 
     def answers(b: pa.RecordBatch) -> np.ndarray:
         return ~b.column(n).to_numpy(zero_copy_only=False)
@@ -142,7 +146,7 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, payload
             if len(found):
                 held = b.slice(int(found[-1]), 1)
         if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([_part()], pa.int32()), *held.columns[:n], held.column(n + 1)], names=["part", *(f"k{i}" for i in range(n)), "told"])
+            yield pa.RecordBatch.from_arrays([pa.array([_part(held)], pa.int32()), *held.columns[:n], held.column(n + 1)], names=["part", *(f"k{i}" for i in range(n)), "told"])
 
     heads = dealt.select(*(f"k{i}" for i in range(n)), "told").schema
     lasts = dealt.mapInArrow(last_told, "part int" + "".join(f", {f.name} {f.dataType.simpleString()}" for f in heads)).toArrow()  # one row a task
@@ -150,14 +154,15 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], at: str, payload
     sent = left.sparkSession.sparkContext.broadcast(table.to_batches()[0] if table.num_rows else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        if sent.value is not None:
-            earlier = int(np.searchsorted(np.asarray(sent.value.column(0)), _part()))
-            held = sent.value.slice(earlier - 1, 1) if earlier else None
-            held = held and [*held.columns[1 : n + 1], _loose(held.column(n + 1))]
+        held, begun = None, False
         for b in batches:
             if not b.num_rows:
                 continue
+            if not begun and sent.value is not None:
+                earlier = int(np.searchsorted(np.asarray(sent.value.column(0)), _part(b)))
+                held = sent.value.slice(earlier - 1, 1) if earlier else None
+                held = held and [*held.columns[1 : n + 1], _loose(held.column(n + 1))]
+            begun = True
             key, told = list(b.columns[:n]), _loose(b.column(n + 1))
             if held is None:
                 held = [*(pa.nulls(1, k.type) for k in key), pa.nulls(1, told.type)]
