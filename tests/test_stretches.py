@@ -94,6 +94,12 @@ def test_lines_at_places_of_masters_in_many_stretches(spark, tasks):
     assert got == {(d, p): raw[d].rfind(b"\n", 0, p) + 1 for d in raw for p in range(0, len(raw[d]), 3)}
 
 
+def test_what_starts_at_places_of_masters_in_many_stretches(spark, tasks):
+    masters, raw, at = _masters(spark)
+    got = {(x["d"], x["position"]): x["rest"] for x in membership.line_starting(masters, at, ["d"]).collect()}
+    assert got == {(d, p): raw[d][p : raw[d].index(b"\n", p)].decode() for d in raw for p in range(0, len(raw[d]), 3)}
+
+
 def test_lines_that_start_at_a_place(spark):
     masters = membership.master_offsets(spark.createDataFrame([("d", w) for w in ("aa", "aa", "b", "", "\u00e9e")], "d string, line string"), ["d"])
     raw = "\naa\naa\nb\n\u00e9e\n".encode()
