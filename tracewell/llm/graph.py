@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm.common import durable
+from tracewell.session import compact, drop_kept, kept_so_far, tasks_of
 
 #: Edges that are worth a task of their own; fewer tasks than that write fewer, larger files.
 _TASK_EDGES = 20_000
@@ -37,7 +38,7 @@ def _stars(edges: DataFrame, large: bool, tasks: int, most: int | None = None) -
 
 def _size(edges: DataFrame) -> tuple[tuple[int, int], int]:
     """(number and checksum of the edges, the most edges that go down to one node)."""
-    by = edges.groupBy("v").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+    by = edges.groupBy("v").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).coalesce(tasks_of(edges))
     n, h, most = by.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
     return (n or 0, h), most or 0
 
@@ -49,18 +50,22 @@ def components(edges: DataFrame) -> DataFrame:
     edges meet in one task up to _HUB_EDGES, or one in _HUBS of all; beyond that they don't: what they must know, the
     node's least neighbour, is broadcast, for some 4000 nodes at most whatever the number of edges.
     """
-    edges = durable(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    spark = edges.sparkSession
+    last = kept_so_far(spark)
+    edges = compact(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen, degree = _size(edges)
     tasks = max(_FEWEST_TASKS, -(-seen[0] // _TASK_EDGES))
     while True:
         most = max(_HUB_EDGES, seen[0] // _HUBS)
         if degree <= most:
-            edges = durable(_stars(_stars(edges, True, tasks), False, tasks))
+            edges = compact(_stars(_stars(edges, True, tasks), False, tasks))
         else:
-            edges = durable(_stars(durable(_stars(edges, True, tasks, most)), False, tasks, most))
+            edges = compact(_stars(compact(_stars(edges, True, tasks, most)), False, tasks, most))
         now, degree = _size(edges)
+        drop_kept(spark, last, kept_so_far(spark) - 1)  # the round before and what led from it to this one
+        last = kept_so_far(spark) - 1
         if now == seen:
             break
         seen = now
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct()
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots).distinct().coalesce(2 * tasks_of(edges))

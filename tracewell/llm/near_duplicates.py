@@ -34,7 +34,7 @@ from tracewell.llm import textops as X
 from tracewell.llm.common import annotate, durable, fresh, prepare, quoted, rekeyed, release, strings
 from tracewell.llm.graph import components
 from tracewell.operators import sketch
-from tracewell.session import drop_kept, kept_so_far
+from tracewell.session import compact, drop_kept, kept_so_far, tasks_of
 
 _NIBBLE = np.uint64(0x1111111111111111)
 _LANES = np.arange(16, dtype=np.uint64) * np.uint64(4)
@@ -330,7 +330,7 @@ def block_links(ids: np.ndarray, part: np.ndarray, sig: np.ndarray, sets: list[n
     return out
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str, text_col: str, s: Settings) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str, text_col: str, s: Settings, tasks: int) -> DataFrame:
     """(rep, set, n, sig) of the wanted ids, from their texts; most other texts are left out before anything is shuffled.
 
     An id that several texts share has several sets: links are told by id, so any of them counts.
@@ -343,14 +343,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, signatures: DataFrame, id_col: str
     elif n <= _FILTERED:
         bloom = sketch.build(wanted.select(F.col("rep").cast("string").alias("line")), n=max(n, 1000), fpp=0.02)
         texts = texts.filter(sketch.may_contain(spark, bloom, F.col("rep").cast("string")))
-    texts = texts.join(wanted, "rep", "left_semi")
+    texts = texts.join(wanted, "rep", "left_semi").coalesce(tasks)
 
     def to_set(column):
         sh, begin = shingle_sets(column, s.shingle)
         return [pa.ListArray.from_arrays(pa.array(begin, pa.int32()), pa.array(sh.view(np.int64)))]
 
     sets, r = annotate(texts, ["text"], to_set, "set array<long>", ["rep"])
-    return durable(sets.select("rep", f"{r}.set").filter(F.size("set") > 0).join(signatures, "rep"))
+    return compact(sets.select("rep", f"{r}.set").filter(F.size("set") > 0).join(signatures, "rep").coalesce(tasks))
 
 
 def _still_apart(hot: DataFrame, labels: DataFrame, reps: DataFrame, s: Settings) -> DataFrame:
@@ -362,12 +362,13 @@ def _still_apart(hot: DataFrame, labels: DataFrame, reps: DataFrame, s: Settings
     300 bytes.  Rows of a bucket never meet but in blocks; what they must know of it is told to all tasks, or beyond
     _SENT buckets by a join that Spark can split.
     """
+    tasks = 2 * tasks_of(reps)
     here = hot.join(labels, "rep", "left").select("bucket", "rep", "size", F.coalesce("component", "rep").alias("label"))
-    counted = here.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    counted = here.groupBy("bucket", "label").agg(F.count("*").alias("c")).coalesce(tasks)
     apart = counted.groupBy("bucket").agg(F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("all")).filter(F.col("all") > F.col("most.c"))
-    apart = durable(apart.select("bucket", F.col("most.label").alias("major"), F.ceil((F.col("all") - F.col("most.c")) / s.block_sets).cast("long").alias("others"), F.ceil(F.col("all") / s.block_sets).cast("long").alias("blocks")))
+    apart = compact(apart.select("bucket", F.col("most.label").alias("major"), F.ceil((F.col("all") - F.col("most.c")) / s.block_sets).cast("long").alias("others"), F.ceil(F.col("all") / s.block_sets).cast("long").alias("blocks")).coalesce(tasks))
     apart = F.broadcast(apart) if apart.count() <= _SENT else rekeyed(apart, "bucket")
-    rows = here.drop("size").join(apart, "bucket").join(reps.select("rep", "n", "sig", "bands"), "rep")
+    rows = here.drop("size").join(apart, "bucket").join(reps.select("rep", "n", "sig", "bands"), "rep").coalesce(tasks)
     where = lambda k: F.pmod(F.xxhash64("rep", F.lit(7)), F.col(k))
     each = lambda k: F.sequence(F.lit(0).cast("long"), F.col(k) - 1)
     minor = F.transform(F.when(F.col("label") != F.col("major"), each("blocks")).otherwise(F.array().cast("array<long>")), lambda j: F.struct(F.lit(0).alias("side"), where("others").alias("i"), j.alias("j")))
@@ -397,42 +398,47 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     s = settings
     prepare(docs.sparkSession)
     signed, r = annotate(docs, [text_col], lambda texts: _signatures(s, texts), "n long, k1 long, k2 long, bands array<long>, sig binary", [id_col])
-    signed = durable(signed.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), f"{r}.*"))
+    signed = compact(signed.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), f"{r}.*"))
+    # what follows is of about that size, however many partitions a session gives a shuffle; twice, so that joins with sets have room
+    tasks = 2 * tasks_of(signed)
     full = signed.filter("n > 0 and doc_id is not null")
     # bands and signatures follow from the set, so any row of a class will do
-    reps = durable(full.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x")).select("k1", "k2", "n", "rep", "x.bands", "x.sig"))
+    reps = compact(full.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "sig"), "doc_id").alias("x")).select("k1", "k2", "n", "rep", "x.bands", "x.sig").coalesce(tasks))
+    first = kept_so_far(docs.sparkSession)
 
     member = reps.select("rep", F.explode("bands").alias("bucket"))  # a class has each bucket once
-    counted = member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("least")).filter("size > 1")
-    met = durable(member.join(rekeyed(counted, "bucket"), "bucket"))
-    signatures = reps.select("rep", "n", "sig").dropDuplicates(["rep", "sig"])
+    counted = member.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("least")).filter("size > 1").coalesce(tasks)
+    met = compact(member.join(rekeyed(counted, "bucket"), "bucket").coalesce(tasks))
+    signatures = reps.select("rep", "n", "sig").dropDuplicates(["rep", "sig"]).coalesce(tasks)
     pairs = (
-        met.filter(F.col("size") <= s.small).select("bucket", "rep").join(signatures, "rep")
+        met.filter(F.col("size") <= s.small).select("bucket", "rep").join(signatures, "rep").coalesce(tasks)
         .groupBy("bucket").agg(F.collect_list(F.struct("rep", "n", "sig")).alias("members"))
-        .select("members").mapInArrow(lambda it: (_small_pairs(b, s) for b in it if b.num_rows), "a long, b long").filter("a <> b").distinct()
+        .select("members").coalesce(tasks).mapInArrow(lambda it: (_small_pairs(b, s) for b in it if b.num_rows), "a long, b long").filter("a <> b").distinct().coalesce(tasks)
     )
     # larger buckets: one partner a class, in some of its buckets, the same ones for classes that share them
     hot = met.filter(F.col("size") > s.small).select("bucket", "rep", "size")
     by_hash = F.sort_array(F.collect_list(F.struct(F.xxhash64("bucket").alias("h"), "bucket", "size")))
     some = hot.groupBy("rep").agg(F.slice(by_hash, 1, s.chosen).alias("x")).select("rep", F.explode("x").alias("x")).select("rep", "x.bucket", "x.size")
-    salted = some.withColumn("salt", F.pmod(F.xxhash64("rep", "bucket"), F.ceil(F.col("size") / s.chunk).cast("long"))).join(signatures, "rep")
-    dealt = salted.select("bucket", "salt", "n", "rep", "sig").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "n", "rep")
+    salted = some.withColumn("salt", F.pmod(F.xxhash64("rep", "bucket"), F.ceil(F.col("size") / s.chunk).cast("long"))).join(signatures, "rep").coalesce(tasks)
+    dealt = salted.select("bucket", "salt", "n", "rep", "sig").repartition("bucket", "salt").sortWithinPartitions("bucket", "salt", "n", "rep").coalesce(tasks)
     chained = dealt.mapInArrow(lambda it: _partners(it, s), "a long, b long").filter("a <> b")
-    pairs = durable(pairs.unionByName(chained).distinct())
+    pairs = compact(pairs.unionByName(chained).distinct().coalesce(tasks))
 
-    wanted = durable(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct())
-    sets = _sets(docs, wanted, signatures, id_col, text_col, s)
+    wanted = compact(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct().coalesce(tasks))
+    sets = _sets(docs, wanted, signatures, id_col, text_col, s, tasks)
     a, b = sets.select(F.col("rep").alias("a"), F.col("set").alias("x")), sets.select(F.col("rep").alias("b"), F.col("set").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
-    links = pairs.join(a, "a").join(b, "b").filter(100 * common >= s.percent * (F.size("x") + F.size("y") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    links = durable(links)
+    links = pairs.join(a, "a").coalesce(tasks).join(b, "b").filter(100 * common >= s.percent * (F.size("x") + F.size("y") - common)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = compact(links.coalesce(tasks))
+    release(docs.sparkSession)
 
     # what those links leave apart in the larger buckets
     if hot.limit(1).count():
-        live = durable(_still_apart(hot, components(links).withColumnRenamed("node", "rep"), reps, s))
+        live = compact(_still_apart(hot, components(links).withColumnRenamed("node", "rep"), reps, s).coalesce(tasks))
+        release(docs.sparkSession)
         more = live.select("rep").distinct().join(wanted, "rep", "left_anti")
         if live.limit(1).count():
-            sets = sets.unionByName(_sets(docs, durable(more), signatures, id_col, text_col, s))
+            sets = sets.unionByName(_sets(docs, compact(more.coalesce(tasks)), signatures, id_col, text_col, s, tasks))
 
             def forest(t: pa.Table) -> pa.Table:
                 lists = t.column("set").combine_chunks()
@@ -440,9 +446,10 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 found = block_links(t.column("rep").to_numpy(), t.column("side").to_numpy(), _signature_rows(t.column("sig").combine_chunks()), [flat[x:y] for x, y in zip(offs[:-1], offs[1:], strict=True)], s, t.column("label").to_numpy())
                 return pa.table({"u": pa.array([x for x, _ in found], pa.int64()), "v": pa.array([y for _, y in found], pa.int64())})
 
-            links = links.unionByName(live.join(sets, "rep").groupBy("bucket", "i", "j").applyInArrow(forest, "u long, v long"))
-    found = components(durable(links))
-    named = reps.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
+            links = links.unionByName(live.join(sets, "rep").coalesce(tasks).groupBy("bucket", "i", "j").applyInArrow(forest, "u long, v long"))
+    found = components(compact(links.coalesce(tasks)))
+    drop_kept(docs.sparkSession, first, kept_so_far(docs.sparkSession) - 1)  # all that led to found
+    named = reps.select("k1", "k2", "n", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component")).coalesce(tasks)
     out = signed.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2", "n"], "left")
     component = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -461,19 +468,19 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     edges = None
     for s in rules:
         first = kept_so_far(docs.sparkSession)
-        found = durable(classes(rows, id_col=here, text_col=text_col, settings=s).filter("not kept").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).distinct())
+        found = compact(classes(rows, id_col=here, text_col=text_col, settings=s).filter("not kept").select(F.col("doc_id").alias("u"), F.col("component_id").alias("v")).distinct())
         edges = found if edges is None else edges.unionByName(found)
         drop_kept(docs.sparkSession, first, kept_so_far(docs.sparkSession) - 1)  # all that led to found
         release(docs.sparkSession)
     linked = components(edges)
     counted = rows.groupBy(F.col(here).alias("node")).agg(F.min(F.col(quoted(id_col)).cast("long")).alias("id"), F.count("*").alias("n"))
-    seen = durable(counted.join(linked, "node", "left").filter("n > 1 or component is not null"))
+    seen = compact(counted.join(linked, "node", "left").filter("n > 1 or component is not null"))
     first = seen.filter("component is not null").groupBy("component").agg(F.min(F.struct("id", "node")).alias("x")).select(F.col("x.node").alias("node"))
-    gone = durable(seen.filter("component is not null").select("node").join(first, "node", "left_anti"))
+    gone = compact(seen.filter("component is not null").select("node").join(first, "node", "left_anti"))
     repeated = seen.filter("n > 1").select("node").join(gone, "node", "left_anti")
 
     def small(df: DataFrame) -> DataFrame:  # texts are only shuffled past what is too large to be sent around
-        df = durable(df.withColumnRenamed("node", fresh("node")))
+        df = compact(df.withColumnRenamed("node", fresh("node")))
         return F.broadcast(df) if df.count() <= _SENT else df
 
     gone, repeated = small(gone), small(repeated)

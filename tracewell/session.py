@@ -9,6 +9,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a kept result that are worth a task of their own, and the fewest tasks that read one.
+_TASK_BYTES = 2 << 20
+_FEWEST_TASKS = 12
+
 
 def _base(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where none is set, a folder of our own will do only if all runs in one process."""
@@ -40,6 +44,28 @@ def durable(df: DataFrame) -> DataFrame:
     return DataFrame(made, df.sparkSession)
 
 
+def compact(df: DataFrame) -> DataFrame:
+    """durable(df), read by as many tasks as its bytes are worth, if its partitions are more.
+
+    Each task of a later shuffle leaves files and what Spark writes down about it, however few rows it has.  Not for
+    results whose partitions mean something.
+    """
+    spark = df.sparkSession
+    before = kept_so_far(spark)
+    kept = durable(df)
+    if kept_so_far(spark) == before:
+        return kept
+    path = spark._jvm.org.apache.hadoop.fs.Path(_files(spark)[-1])
+    held = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    tasks = max(_FEWEST_TASKS, -(-held // _TASK_BYTES))
+    return kept.coalesce(tasks) if tasks_of(kept) > tasks else kept
+
+
+def tasks_of(kept: DataFrame) -> int:
+    """How many tasks read a kept result, 1 at least."""
+    return max(1, kept._jdf.queryExecution().toRdd().getNumPartitions())
+
+
 def _files(spark: SparkSession) -> list[str]:
     """Where this context's results are kept, in the order they were made."""
     context = spark.sparkContext
