@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import textops as X
-from tracewell.llm.common import prepare, quoted, tidy
-from tracewell.llm.tokens import text_list, tokenizer
+from tracewell.llm.common import prepare, quoted, strings, tidy
+from tracewell.llm.tokens import tokenizer
 
 #: Ids held at a time while pieces are written.
 _CHUNK_IDS = 1 << 18
@@ -59,7 +59,7 @@ def pieces(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, first = t.encode(text_list(batch.column(1)))
+            ids, first = t.encode(strings(batch.column(1)))
             sizes = np.diff(first) + 1
             joined = np.full(len(ids) + len(sizes), end_id, np.uint32)
             begin = np.cumsum(sizes) - sizes
