@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import contextlib
 import ctypes
 import gc
 import json
@@ -12,6 +13,7 @@ from dataclasses import fields
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -37,10 +39,33 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def _trim(spark: SparkSession) -> None:
+    """What jcmd's System.trim_native_heap does, by an interface that the JVM lets others call."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+
+    def array(kind, *items):
+        made = gateway.new_array(kind, len(items))
+        for i, x in enumerate(items):
+            made[i] = x
+        return made
+
+    named = jvm.java.lang.Class.forName
+    takes = array(jvm.Class, *map(named, ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")))
+    invoke = named("javax.management.MBeanServer").getMethod("invoke", takes)
+    commands = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+    invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), array(jvm.Object, commands, "systemTrimNativeHeap", None, None))
+
+
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of results that nothing refers to any more."""
+    """Let Spark delete the shuffle files of results that nothing refers to any more, and give the driver's unused memory back.
+
+    What the C library keeps of memory that is free again lies outside the JVM's heap and grows from plan to plan.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    with contextlib.suppress(Py4JError):  # a JVM that has no such command keeps its memory
+        _trim(spark)
+    tidy()
 
 
 def fresh(prefix: str) -> str:
@@ -84,7 +109,7 @@ def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def tidy() -> None:
-    """Give memory that a task no longer needs back to the system, as workers live on and share an executor's."""
+    """Give memory that this process no longer needs back to the system, as workers live on and share an executor's."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.llm.common import durable
+from tracewell.llm.common import durable, release
 from tracewell.session import compact, drop_kept, kept_so_far, tasks_of
 
 #: Edges that are worth a task of their own; fewer tasks than that write fewer, larger files.
@@ -64,6 +64,7 @@ def components(edges: DataFrame) -> DataFrame:
         now, degree = _size(edges)
         drop_kept(spark, last, kept_so_far(spark) - 1)  # the round before and what led from it to this one
         last = kept_so_far(spark) - 1
+        release(spark)  # a round is a dozen exchanges, and they leave memory behind
         if now == seen:
             break
         seen = now
